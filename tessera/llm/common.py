@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +20,27 @@ MAX_FILTER_BITS = 1 << 27
 BATCH_ROWS, BATCH_BYTES = 2000, 32 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's source to the Python workers, once an application, wherever the driver runs."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-"), "tessera_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def bound_batches(spark: SparkSession) -> None:
-    """Hold the Arrow batches of this session to BATCH_ROWS rows and, where Spark can, BATCH_BYTES bytes."""
+    """Hold the Arrow batches of this session to BATCH_ROWS rows and, where Spark can, BATCH_BYTES bytes; and
+    see that the workers have this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
@@ -54,10 +77,9 @@ def bitmap(keys: DataFrame, column: str, n: int) -> np.ndarray:
     bits = 1 << 16
     while bits < min(16 * n, MAX_FILTER_BITS):
         bits *= 2
-    mixed = F.xxhash64(column)
-    word = mixed.bitwiseAND((bits >> 6) - 1)
-    bit = F.shiftleft(F.lit(1).cast("long"), F.shiftrightunsigned(mixed, 58).cast("int"))
-    rows = keys.where(F.col(column).isNotNull()).select(word.alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    mixed = keys.where(F.col(column).isNotNull()).select(F.xxhash64(column).alias("m"))
+    each = mixed.selectExpr(f"m & {(bits >> 6) - 1} AS w", "shiftleft(1L, CAST(shiftrightunsigned(m, 58) AS int)) AS b")
+    rows = each.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     out = np.zeros(bits >> 6, np.int64)
     out[rows["w"].to_numpy()] = rows["b"].to_numpy()
     return out
