@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tessera.llm import queries_corpus, queries_text
+from tessera.llm import queries_corpus, queries_native, queries_text
 
-_MODULES = [queries_text, queries_corpus]
+_MODULES = [queries_text, queries_corpus, queries_native]
 
 
 def queries() -> dict[str, Callable]:
