@@ -4,13 +4,23 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tessera.llm import bpe, pii, quality
+from tessera.llm import bpe, html, langid, licenses, pii, quality
 
 
 def _documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_html_extraction(spark, sf_dir):
+    """The main text of every page."""
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
+def op4_license_scan(spark, sf_dir):
+    """License texts in every document: matched coverage and spans."""
+    return licenses.scan(_documents(spark, sf_dir))
+
+
 def op5_bpe_codec(spark, sf_dir):
     """Ids and their decoding for every document, as digests."""
     return bpe.encode_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -22,14 +32,37 @@ def op6_quality_rules(spark, sf_dir):
     return led.selectExpr("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "NOT base_kept AS base_failed", "kept AND base_kept AS kept", "failed_bits")
 
 
+def op9_language_id(spark, sf_dir):
+    """The predicted language of every document."""
+    return langid.identify(_documents(spark, sf_dir).select("doc_id", "text", "lang"))
+
+
 def op10_pii(spark, sf_dir):
     """Spans of personal data in every document."""
     return pii.scan(_documents(spark, sf_dir))
 
 
-QUERIES = {"op5_bpe_codec": op5_bpe_codec, "op6_quality_rules": op6_quality_rules, "op10_pii": op10_pii}
+QUERIES = {
+    "op3_html_extraction": op3_html_extraction,
+    "op4_license_scan": op4_license_scan,
+    "op5_bpe_codec": op5_bpe_codec,
+    "op6_quality_rules": op6_quality_rules,
+    "op9_language_id": op9_language_id,
+    "op10_pii": op10_pii,
+}
 
 ORACLES = {
+    "op3_html_extraction": r"""
+WITH a AS (
+    SELECT row_number() OVER () AS r, page_id, url, regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(?:p|h1|br|ul|li|div)>') AS x FROM pages
+), parts AS (
+    SELECT r, regexp_replace(unnest(x), '<[^>]*>', '', 'g') AS s, unnest(range(1, len(x) + 1)) AS i FROM a
+), clean AS (
+    SELECT r, i, trim(regexp_replace(replace(replace(replace(replace(s, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS s FROM parts
+), texts AS (
+    SELECT r, string_agg(s, chr(10) ORDER BY i) AS text FROM clean WHERE s <> '' GROUP BY r
+)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM a LEFT JOIN texts USING (r)""",
     "op6_quality_rules": r"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
