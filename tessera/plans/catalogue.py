@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from tessera.plans import aggregation  # noqa: F401
+from tessera.plans import aggregation, joins, predicates, scans  # noqa: F401
