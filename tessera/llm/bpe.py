@@ -17,6 +17,8 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
+import glob
 import hashlib
 import heapq
 import json
@@ -35,9 +37,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import bound_batches
 
 #: Words in the lexicon, and distinct words that a worker counts before it hands its counts on.
-LEXICON_WORDS, COUNTED_WORDS = 1 << 16, 1 << 18
-#: Chunks whose ids a worker keeps at hand.
-KEPT_CHUNKS = 1 << 18
+LEXICON_WORDS, COUNTED_WORDS = 1 << 16, 1 << 19
+#: Chunks whose ids a worker keeps at hand; they are dropped all at once between two batches.
+KEPT_CHUNKS = 1 << 19
 
 
 def _byte_letters() -> list[str]:
@@ -102,14 +104,37 @@ class Vocabulary:
         return section.lower().encode("utf-8", "surrogatepass")
 
     def words(self, chunk: bytes) -> list[bytes]:
+        if chunk.decode("utf-8", "surrogatepass").isalpha():
+            return [chunk]  # letters only: one word, whatever the pattern's other parts
         return [w.encode() for w in self.split.findall(chunk.decode("utf-8", "surrogatepass"))]
 
     def merge(self, word: bytes) -> list[int]:
-        """Exact merges: always the pair of lowest rank, the leftmost first. A heap keeps a long word at n log n."""
-        sym: list[str | None] = [self.letters[b] for b in word]
+        """Exact merges: always the pair of lowest rank, the leftmost first."""
+        if len(word) > 32:
+            return self._merge_long(word)
+        sym = [self.letters[b] for b in word]
         if not sym:
             return []
         sym[-1] += self.end
+        get, never = self.ranks.get, len(self.ranks)
+        ranks = [get(p, never) for p in zip(sym, sym[1:], strict=False)]
+        while ranks:
+            low = min(ranks)
+            if low == never:
+                break
+            k = ranks.index(low)
+            sym[k : k + 2] = [sym[k] + sym[k + 1]]
+            del ranks[k]
+            if k < len(ranks):
+                ranks[k] = get((sym[k], sym[k + 1]), never)
+            if k:
+                ranks[k - 1] = get((sym[k - 1], sym[k]), never)
+        return [self.ids[s] for s in sym if s in self.ids]
+
+    def _merge_long(self, word: bytes) -> list[int]:
+        """The same with a heap, which keeps a long word at n log n."""
+        sym: list[str | None] = [self.letters[b] for b in word]
+        sym[-1] += self.end
         n, ranks = len(sym), self.ranks
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
         heap = [(r, i, sym[i], sym[i + 1]) for i in range(n - 1) if (r := ranks.get((sym[i], sym[i + 1]))) is not None]
@@ -190,29 +215,41 @@ class Lexicon:
         at = 20
         parts = []
         for size in (n + 1, n, edges, edges, words + 1, flat):
-            parts.append(memoryview(raw[at : at + 4 * size]).cast("B").cast("i"))
+            parts.append(raw[at : at + 4 * size].view("<i4"))
             at += 4 * size
         self.first, self.final, self.skip, self.target, self.starts, self.ids = parts
-        self.label = raw[at : at + edges].tobytes() if edges < 4096 else memoryview(raw[at : at + edges]).cast("B")
-        self.words = words
-
-    def find(self, word: bytes) -> memoryview | None:
-        """The ids of a word, or None if the lexicon lacks it."""
-        state, place = self.root, 0
-        first, label = self.first, self.label
-        for b in word:
-            lo, hi = first[state], first[state + 1]
-            while lo < hi:
-                mid = (lo + hi) >> 1
-                if label[mid] < b:
-                    lo = mid + 1
-                else:
-                    hi = mid
-            if lo == first[state + 1] or label[lo] != b:
-                return None
-            place += self.skip[lo]
-            state = self.target[lo]
-        return self.ids[self.starts[place] : self.starts[place + 1]] if self.final[state] else None
+        self.label = raw[at : at + edges]
+        # edges are in order of state and label: one sorted key finds an edge
+        self.keys = np.repeat(np.arange(n, dtype=np.int64), np.diff(self.first)) << 8 | self.label
+
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids (little-endian unsigned 32-bit) of each word, or None. All words walk the automaton together, a byte a step."""
+        out: list[bytes | None] = [None] * len(words)
+        if not len(self.keys):
+            return out
+        lengths = np.array([len(w) for w in words], np.int64)
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        begins = np.cumsum(lengths) - lengths
+        live = np.flatnonzero(lengths <= 64)
+        state = np.full(len(live), self.root, np.int64)
+        place = np.zeros(len(live), np.int64)
+        step = 0
+        while len(live):
+            done = lengths[live] == step
+            if done.any():
+                for w, p, f in zip(live[done].tolist(), place[done].tolist(), self.final[state[done]].tolist(), strict=True):
+                    if f:
+                        out[w] = self.ids[self.starts[p] : self.starts[p + 1]].tobytes()
+                live, state, place = live[~done], state[~done], place[~done]
+            key = state << 8 | flat[begins[live] + step]
+            edge = np.searchsorted(self.keys, key)
+            edge[edge == len(self.keys)] = 0
+            on = self.keys[edge] == key
+            live, edge = live[on], edge[on]
+            place = place[on] + self.skip[edge]
+            state = self.target[edge].astype(np.int64)
+            step += 1
+        return out
 
 
 class Codec:
@@ -222,29 +259,38 @@ class Codec:
         self.v, self.lexicon, self.kept = vocabulary, lexicon, {}
         self.pieces = np.array([t.encode() for t in vocabulary.tokens], object)
 
-    def _chunk(self, chunk: bytes) -> bytes:
-        ids: list[int] = []
-        for w in self.v.words(chunk):
-            found = self.lexicon.find(w) if self.lexicon else None
-            ids += found if found is not None else self.v.merge(w)
-        out = np.array(ids, "<u4").tobytes()
+    def _learn(self, chunks: set[bytes]) -> None:
+        """Find the ids of chunks: those of their words from the lexicon, or else by merging."""
+        parts = {c: self.v.words(c) for c in chunks}
+        words = list({w for ws in parts.values() for w in ws})
+        found = self.lexicon.find(words) if self.lexicon else [None] * len(words)
+        ids = {w: f if f is not None else np.array(self.v.merge(w), "<u4").tobytes() for w, f in zip(words, found, strict=True)}
+        for c, ws in parts.items():
+            self.kept[c] = ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.kept) >= KEPT_CHUNKS:
             self.kept.clear()
-        if len(chunk) < 64:
-            self.kept[chunk] = out
-        return out
+        v, kept = self.v, self.kept
+        split: list[list] = []
+        new: set[bytes] = set()
+        for text in texts:
+            sections = []
+            for s in v.parts.split(text or "") if v.parts and "<|" in (text or "") else [text or ""]:
+                if s in v.special:
+                    sections.append(v.special[s])
+                else:
+                    chunks = v.clean(s).split()
+                    new.update(chunks)
+                    sections.append(chunks)
+            split.append(sections)
+        self._learn(new.difference(kept))
+        get = kept.__getitem__
+        return [b"".join([np.array([s], "<u4").tobytes() if isinstance(s, int) else b"".join(map(get, s)) for s in sections]) for sections in split]
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        out = []
-        sections = self.v.parts.split(text) if self.v.parts and "<|" in text else [text]
-        get = self.kept.get
-        for s in sections:
-            if s in self.v.special:
-                out.append(np.array([self.v.special[s]], "<u4").tobytes())
-            else:
-                out += [x if (x := get(c)) is not None else self._chunk(c) for c in self.v.clean(s).split()]
-        return b"".join(out)
+        return self.encode_batch([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the tokens' letters, joined by spaces."""
@@ -289,14 +335,21 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, size: int = LEXICON_W
 
 
 def mapped(data: bytes) -> Lexicon:
-    """The lexicon in this worker: the first worker of an executor writes the file, all of them map it."""
-    path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin")
-    if not os.path.exists(path):
-        fd, own = tempfile.mkstemp(dir=os.path.dirname(path))
-        with os.fdopen(fd, "wb") as f:
-            f.write(data)
-        os.replace(own, path)
-    return Lexicon(path)
+    """The lexicon in this worker: the first worker of an executor writes the file, all of them map it. A new lexicon takes the
+    place of an older one; who has that mapped keeps it."""
+    folder = tempfile.gettempdir()
+    path = os.path.join(folder, f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin")
+    while True:
+        if not os.path.exists(path):
+            for old in glob.glob(os.path.join(folder, "lexicon-*.bin")):
+                with contextlib.suppress(FileNotFoundError):
+                    os.unlink(old)
+            fd, own = tempfile.mkstemp(dir=folder)
+            with os.fdopen(fd, "wb") as f:
+                f.write(data)
+            os.replace(own, path)
+        with contextlib.suppress(FileNotFoundError):  # another job's worker may have removed it meanwhile
+            return Lexicon(path)
 
 
 def codec_maker(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WORDS):
@@ -317,8 +370,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_W
         codec = make()
         for b in batches:
             rows = []
-            for t in b.column("text").to_pylist():
-                ids = codec.encode(t or "")
+            for ids in codec.encode_batch(b.column("text").to_pylist()):
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest(), ids))
             cols = [b.column("doc_id").cast(pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
