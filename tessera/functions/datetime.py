@@ -19,7 +19,7 @@ def micros(ts) -> Column:
     ts = _c(ts).cast(NTZ)
     day = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
     seconds = F.hour(ts).cast("bigint") * 3600 + F.minute(ts) * 60
-    return day * F.lit(86_400_000_000) + seconds * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return day * F.lit(86_400_000_000) + seconds * 1_000_000 + F.round(F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
 
 
 def from_micros(us) -> Column:

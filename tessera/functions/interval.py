@@ -29,7 +29,7 @@ _UNITS = {
 def of(n, unit: str) -> Column:
     """INTERVAL n unit."""
     m, d, u = _UNITS[unit.lower().rstrip("s")]
-    n = _c(n)
+    n = _c(n).cast("bigint")
     return make(n * m, n * d, n * F.lit(u))
 
 

@@ -10,9 +10,11 @@ import json as _json
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import ship_package
+
 
 def _c(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
@@ -114,6 +116,8 @@ def _path(text: str | None, steps: list) -> str | None:
 
 
 def _series(fn):
+    ship_package(SparkSession.active())
+
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else fn(x))
@@ -252,26 +256,28 @@ def is_json(doc, kind: str = "value") -> Column:
     return F.when(doc.isNotNull(), F.coalesce(tests[kind], F.lit(False)))
 
 
-@F.pandas_udf("boolean")
-def _unique(s: pd.Series) -> pd.Series:
-    def check(x):
-        if x is None:
-            return None
-
-        def hook(pairs):
-            if len({k for k, _ in pairs}) != len(pairs):
-                raise ValueError("repeated key")
-            return dict(pairs)
+def _unique_keys(x: str | None) -> bool | None:
+    if x is None:
+        return None
 
-        try:
-            _json.loads(x, object_pairs_hook=hook)
-        except ValueError:
-            return False
-        return True
+    def hook(pairs):
+        if len({k for k, _ in pairs}) != len(pairs):
+            raise ValueError("repeated key")
+        return dict(pairs)
 
-    return s.map(check)
+    try:
+        _json.loads(x, object_pairs_hook=hook)
+    except ValueError:
+        return False
+    return True
 
 
 def is_json_unique(doc) -> Column:
     """IS JSON WITH UNIQUE KEYS."""
-    return _unique(_c(doc))
+    ship_package(SparkSession.active())
+
+    @F.pandas_udf("boolean")
+    def unique(s: pd.Series) -> pd.Series:
+        return s.map(_unique_keys)
+
+    return unique(_c(doc))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: ANSI arithmetic and casts, UTC texts, the TIME type, and limits of recursive queries.
@@ -31,3 +36,20 @@ def builder(app: str = "tessera", master: str | None = None, shuffle_partitions:
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's source to the Python workers, once an application, wherever the driver runs."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-"), "tessera_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
