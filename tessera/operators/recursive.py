@@ -52,7 +52,7 @@ def walk(spark: SparkSession, base: DataFrame, edges: DataFrame, source: str, ta
     raise RuntimeError("a recursive query did not end")
 
 
-def search_order(df: DataFrame, path: str = "path", breadth_first: bool = False) -> Column:
+def search_order(path: str = "path", breadth_first: bool = False) -> Column:
     """The sort key of SEARCH: DEPTH FIRST compares paths, BREADTH FIRST lengths and then paths."""
     return F.struct(F.size(path).alias("n"), F.col(path).alias("p")) if breadth_first else F.struct(F.col(path).alias("p"))
 
