@@ -27,8 +27,7 @@ def rows(table) -> tuple[list[str], list[tuple]]:
 
 def compare(spark, con, name, query, sql, sf_dir) -> None:
     got = rows(query(spark, sf_dir).toArrow())
-    want = con.execute(sql).to_arrow_table() if hasattr(con, "to_arrow_table") else con.sql(sql).to_arrow_table()
-    want = rows(want)
+    want = rows(con.sql(sql).to_arrow_table())
     assert got[0] == want[0], f"{name}: columns {got[0]} and {want[0]}"
     assert len(got[1]) == len(want[1]), f"{name}: {len(got[1])} and {len(want[1])} rows"
     assert got[1] == want[1], f"{name}: {next((a, b) for a, b in zip(got[1], want[1], strict=True) if a != b)}"
