@@ -243,8 +243,8 @@ def exists(doc, path: str) -> Column:
 
 
 def query(doc, path: str, wrapper: bool = False) -> Column:
-    """JSON_QUERY: a fragment; WITH WRAPPER puts it in an array."""
-    part = F.get_json_object(_c(doc), path)
+    """JSON_QUERY: a fragment as JSON text; WITH WRAPPER puts it in an array."""
+    part = F.to_json(F.try_variant_get(F.try_parse_json(_c(doc)), path, "variant"))
     return F.when(part.isNotNull(), F.concat(F.lit("["), part, F.lit("]"))) if wrapper else part
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from tessera.operators import dml
 from tessera.plans.registry import query
 from tessera.sources import arrow, infer
 from tessera.sources.tables import load
+from tessera.sql.engine import Engine
 from tessera.streaming import windows as streaming
 
 
@@ -182,3 +186,92 @@ def events_tumbling(spark, sf):
 SELECT min(ts) AS session_start, user_id, count(*) AS n FROM s GROUP BY user_id, k""")
 def events_sessions(spark, sf):
     return streaming.sessions(load(spark, sf, "events"), "ts", "12 hours", "1 hour", "user_id").select("session_start", "user_id", "n")
+
+
+@query("dml_delete_composite", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_orderkey, l_linenumber) NOT IN (SELECT l_orderkey, max(l_linenumber) FROM lineitem GROUP BY 1)")
+def dml_delete_composite(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    last = li.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("m"))
+    return dml.delete_using(dml.Table.of(li), last, {"l_orderkey": "l_orderkey", "l_linenumber": "m"}).table.rows
+
+
+@query("dml_update_row", f"SELECT id, CASE WHEN id < 9 THEN 'x' || nation ELSE name END AS name, CASE WHEN id < 9 THEN length(name)::INTEGER ELSE nation END AS nation, bal FROM ({_BASE})")
+def dml_update_row(spark, sf):
+    # (name, nation) = (.., ..): both values are of the old row
+    return dml.update(_customers(spark, sf), {"name": "'x' || nation", "nation": "length(name)"}, "id < 9").table.rows
+
+
+@query("ddl_checks_and_lengths", "SELECT TRUE AS check_fails, TRUE AS length_fails, TRUE AS null_fails, TRUE AS null_passes_check")
+def ddl_checks_and_lengths(spark, sf):
+    t = cat.create_table(spark, [cat.column("a", "INTEGER", nullable=False), cat.column("s", "VARCHAR(3)")], [("positive", "a > 0 OR s IS NULL")])
+
+    def fails(a, s) -> bool:
+        try:
+            dml.insert(t, spark.createDataFrame([(a, s)], "a int, s string")).table.rows.collect()
+        except Exception as e:
+            return "USER_RAISED" in str(e)
+        return False
+
+    return spark.createDataFrame([(fails(-1, "x"), fails(1, "abcd"), fails(None, "x"), not fails(-1, None))], "check_fails boolean, length_fails boolean, null_fails boolean, null_passes_check boolean")
+
+
+@query("ddl_comment_default", "SELECT * FROM (VALUES ('id', 'the key', NULL), ('nation', NULL, '-1'), ('bal', NULL, '1')) v(column_name, comment, column_default)")
+def ddl_comment_default(spark, sf):
+    t = cat.alter(_customers(spark, sf), cat.comment_on("the key", "id"), cat.set_default("bal", "1"), cat.drop_column("name"))
+    return spark.createDataFrame([(c.name, c.comment, c.default) for c in t.columns], "column_name string, comment string, column_default string")
+
+
+@query("session_settings", "SELECT 'America/New_York' AS zone, '5s' AS timeout, NULL::VARCHAR AS reset_value, 'UTC' AS zone_after")
+def session_settings(spark, sf):
+    s = cat.Settings(spark)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    s.set("TimeZone", "America/New_York")
+    s.set("statement_timeout", "5s")
+    zone, timeout = s.show("TimeZone"), s.show("statement_timeout")
+    s.reset("statement_timeout")
+    s.reset("TimeZone")
+    row = (zone, timeout, s.show("statement_timeout"), s.show("time zone"))
+    spark.conf.set("spark.sql.session.timeZone", before)
+    return spark.createDataFrame([row], "zone string, timeout string, reset_value string, zone_after string")
+
+
+@query("info_schema_schemata", "SELECT 'spark_catalog' AS catalog_name, 'default' AS schema_name")
+def info_schema_schemata(spark, sf):
+    return cat.info_schemata(spark).where("schema_name = 'default'")
+
+
+@query("info_schema_views", "SELECT 'nation' AS table_name")
+def info_schema_views(spark, sf):
+    load(spark, sf, "nation").createOrReplaceTempView("nation")
+    return cat.info_views(spark).where("table_name = 'nation'").select("table_name")
+
+
+@query("info_schema_routines", "SELECT * FROM (VALUES ('upper'), ('percentile_cont')) v(routine_name)")
+def info_schema_routines(spark, sf):
+    return cat.info_routines(spark).where("routine_name IN ('upper', 'percentile_cont')")
+
+
+@query("arrow_ipc_round_trip", "SELECT n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey, n_name FROM nation")
+def arrow_ipc_round_trip(spark, sf):
+    n = load(spark, sf, "nation").select("n_nationkey", "n_name")
+    with tempfile.TemporaryDirectory() as d:
+        arrow.export_ipc(n, os.path.join(d, "file"), compression="lz4")
+        arrow.export_ipc(n, os.path.join(d, "stream"), stream=True, compression="zstd")
+        return arrow.import_ipc(spark, os.path.join(d, "file")).unionAll(arrow.import_ipc(spark, os.path.join(d, "stream")))
+
+
+@query("arrow_streamed_result", "SELECT n_nationkey, n_name FROM nation")
+def arrow_streamed_result(spark, sf):
+    batches = list(arrow.record_batches(load(spark, sf, "nation").select("n_nationkey", "n_name"), 7))
+    return spark.createDataFrame(pa.Table.from_batches(batches))
+
+
+@query("sql_script", "SELECT n_nationkey AS id, n_name AS name, CASE WHEN n_nationkey < 5 THEN 1 ELSE 0 END AS flag FROM nation WHERE n_nationkey <> 7")
+def sql_script(spark, sf):
+    kind = spark.conf.get("spark.sql.timestampType")
+    load(spark, sf, "nation").createOrReplaceTempView("nation")
+    try:
+        return Engine(spark).sql("""CREATE TABLE script_t (id INTEGER NOT NULL, name VARCHAR(30), flag INTEGER DEFAULT 0 CHECK (flag IN (0, 1)));
+            INSERT INTO script_t (id, name) SELECT n_nationkey, n_name FROM nation; UPDATE script_t SET flag = 1 WHERE id < 5; DELETE FROM script_t WHERE id = 7; SELECT * FROM script_t""")
+    finally:
+        spark.conf.set("spark.sql.timestampType", kind)

@@ -137,3 +137,21 @@ def fn_json_build(spark, sf):
 @query("fn_json_array_length", "SELECT event_id, 2::BIGINT AS n FROM events")
 def fn_json_array_length(spark, sf):
     return _events(spark, sf).select("event_id", js.array_length(js.build_array(F.col("event_id"), F.col("event_type"))).alias("n"))
+
+
+@query("fn_json_construct", """SELECT '{"a" : "1", "b c" : "x"}' AS o, '{"k" : "v"}' AS kv, '{"b": 1.50, "aa": [1, 2]}' AS b, '{"z": 1,  "y": 2}' AS j, FALSE AS u, TRUE AS uu, '["x"]' AS w, -1::BIGINT AS empty, 7::BIGINT AS err""")
+def fn_json_construct(spark, sf):
+    odd = '{"z": 1,  "y": 2}'
+    return spark.range(1).select(
+        F.lit(js.object_from_text('{a,1,"b c",x}')).alias("o"), F.lit(js.object_from_text("{k}", "{v}")).alias("kv"), js.jsonb('{"aa":[1,2], "b":1.50}').alias("b"), js.json(odd).alias("j"), js.is_json_unique('{"a":1,"a":2}').alias("u"),
+        js.is_json_unique('{"a":1}').alias("uu"), js.query('{"a":"x"}', "$.a", wrapper=True).alias("w"), js.value("{}", "$.a", "bigint", on_empty=-1).alias("empty"), js.value('{"a":"x"}', "$.a", "bigint", on_error=7).alias("err"),
+    )
+
+
+@query("fn_make_instants", "SELECT n_nationkey, make_timestamp(2024, 3, 1, 17, 0, 0) AS t, make_timestamp(1700000000000000 + n_nationkey * 1000000) AS e FROM nation")
+def fn_make_instants(spark, sf):
+    # instants as UTC wall time
+    t = dt.make_timestamptz(2024, 3, 1, 12, 0, 0, "America/New_York")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    local = lambda c: dt.convert_timezone("UTC", c.cast("timestamp_ntz"), zone)
+    return load(spark, sf, "nation").select("n_nationkey", local(t).alias("t"), local(dt.to_timestamp_epoch(F.lit(1_700_000_000) + F.col("n_nationkey"))).alias("e"))

@@ -116,3 +116,25 @@ def lateral_topk(spark, sf):
     c, o = _co(spark, sf)
     top = top_k_per_group(o, ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], 2)
     return c.join(top, F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "o_orderkey")
+
+
+@query("join_char_padding", "SELECT n_nationkey, r_regionkey FROM nation JOIN region ON n_regionkey = r_regionkey")
+def join_char_padding(spark, sf):
+    # CHAR(n) keys: padding doesn't count, so keys are compared without it
+    n = load(spark, sf, "nation").join(load(spark, sf, "region").select(F.col("r_regionkey").alias("k"), F.rpad("r_name", 20, " ").alias("padded")), F.col("n_regionkey") == F.col("k")).select("n_nationkey", "padded")
+    r = load(spark, sf, "region").select("r_regionkey", F.rpad("r_name", 30, " ").alias("name"))
+    return n.join(r, F.rtrim("padded") == F.rtrim("name")).select("n_nationkey", "r_regionkey")
+
+
+@query("join_date_timestamp", "SELECT event_id, d FROM events JOIN (SELECT DISTINCT ts::DATE AS d FROM events) ON date_trunc('day', ts) = d::TIMESTAMP WHERE event_id < 500")
+def join_date_timestamp(spark, sf):
+    e = load(spark, sf, "events")
+    days = e.select(F.col("ts").cast("date").alias("d")).distinct()
+    return e.where("event_id < 500").join(days, F.date_trunc("day", "ts").cast("timestamp_ntz") == F.col("d").cast("timestamp_ntz")).select("event_id", "d")
+
+
+@query("join_nan_keys", "SELECT a.k AS x, b.k AS y FROM (VALUES (1, 'NaN'::DOUBLE), (2, 1.5), (3, NULL)) a(k, v) JOIN (VALUES (7, 'NaN'::DOUBLE), (8, NULL), (9, 1.5)) b(k, v) ON a.v = b.v")
+def join_nan_keys(spark, sf):
+    a = spark.sql("SELECT * FROM VALUES (1, double('NaN')), (2, 1.5D), (3, NULL) AS a(x, v)")
+    b = spark.sql("SELECT * FROM VALUES (7, double('NaN')), (8, NULL), (9, 1.5D) AS b(y, w)")
+    return a.join(b, F.col("v") == F.col("w")).select("x", "y")

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.ipc as ipc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows of a streamed batch.
 BATCH_ROWS = 65_536
@@ -26,14 +27,13 @@ def ingest(spark: SparkSession, data: pa.Table | DataFrame, path: str, mode: str
 
 def record_batches(df: DataFrame, rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """A result as record batches of up to ``rows`` rows, partition by partition: the driver never holds the whole result."""
-    schema = None
+    schema = to_arrow_schema(df.schema)
     pending: list = []
     for row in df.toLocalIterator(prefetchPartitions=True):
         pending.append(row.asDict())
         if len(pending) == rows:
-            b = pa.RecordBatch.from_pylist(pending, schema)
-            schema, pending = b.schema, []
-            yield b
+            yield pa.RecordBatch.from_pylist(pending, schema)
+            pending = []
     if pending:
         yield pa.RecordBatch.from_pylist(pending, schema)
 
