@@ -22,10 +22,10 @@ def join_inner(spark, sf):
 for _how, _sql in (("left", "LEFT"), ("right", "RIGHT"), ("full", "FULL")):
 
     def _outer(spark, sf, how=_how):
-        n, s = load(spark, sf, "nation").where("n_nationkey < 15"), load(spark, sf, "supplier").where("s_nationkey > 8 AND s_suppkey < 40")
-        return n.join(s, (F.col("n_nationkey") == F.col("s_nationkey")) & (F.col("s_acctbal") > 0), how).select("n_name", "s_suppkey")
+        n, s = load(spark, sf, "nation"), load(spark, sf, "supplier")
+        return n.join(s, (F.col("n_nationkey") == F.col("s_nationkey")) & (F.col("s_acctbal") > 9000), how).select("n_name", "s_suppkey")
 
-    query(f"join_{_how}", f"SELECT n_name, s_suppkey FROM (SELECT * FROM nation WHERE n_nationkey < 15) {_sql} JOIN (SELECT * FROM supplier WHERE s_nationkey > 8 AND s_suppkey < 40) ON n_nationkey = s_nationkey AND s_acctbal > 0")(_outer)
+    query(f"join_{_how}", f"SELECT n_name, s_suppkey FROM nation {_sql} JOIN supplier ON n_nationkey = s_nationkey AND s_acctbal > 9000")(_outer)
 
 
 @query("join_cross", "SELECT n_nationkey, r_regionkey FROM nation, region")
@@ -40,23 +40,23 @@ def join_theta(spark, sf):
     return a.join(b, F.expr("a.n_nationkey < b.n_nationkey AND a.n_regionkey >= b.n_regionkey")).select(F.col("a.n_nationkey").alias("x"), F.col("b.n_nationkey").alias("y"))
 
 
-@query("join_lookup", "SELECT o_orderkey, o_totalprice FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_custkey < 10")
+@query("join_lookup", "SELECT o_orderkey, o_totalprice FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_nationkey = 7 AND c_mktsegment = 'BUILDING'")
 def join_lookup(spark, sf):
     c, o = _co(spark, sf)
-    return o.join(c.where("c_custkey < 10").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_totalprice")
+    return o.join(c.where("c_nationkey = 7 AND c_mktsegment = 'BUILDING'").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_totalprice")
 
 
-@query("join_using", "SELECT n.k AS k, r.k AS k_right, n_name, r_name FROM (SELECT n_regionkey AS k, n_name FROM nation) n LEFT JOIN (SELECT r_regionkey AS k, r_name FROM region WHERE r_regionkey < 3) r ON n.k = r.k")
+@query("join_using", "SELECT n.k AS k, r.k AS k_right, n_name, r_name FROM (SELECT n_regionkey AS k, n_name FROM nation) n LEFT JOIN (SELECT r_regionkey + 2 AS k, r_name FROM region) r ON n.k = r.k")
 def join_using_query(spark, sf):
     n = load(spark, sf, "nation").selectExpr("n_regionkey AS k", "n_name")
-    r = load(spark, sf, "region").where("r_regionkey < 3").selectExpr("r_regionkey AS k", "r_name")
+    r = load(spark, sf, "region").selectExpr("r_regionkey + 2 AS k", "r_name")
     return join_using(n, r, ["k"], "left").select("k", "k_right", "n_name", "r_name")
 
 
-@query("join_natural", "SELECT k, n_name, r_name FROM (SELECT n_regionkey AS k, n_name FROM nation WHERE n_regionkey > 1) n NATURAL FULL JOIN (SELECT r_regionkey AS k, r_name FROM region WHERE r_regionkey < 3) r")
+@query("join_natural", "SELECT k, n_name, r_name FROM (SELECT n_regionkey AS k, n_name FROM nation) n NATURAL FULL JOIN (SELECT r_regionkey + 2 AS k, r_name FROM region) r")
 def join_natural(spark, sf):
-    n = load(spark, sf, "nation").where("n_regionkey > 1").selectExpr("n_regionkey AS k", "n_name")
-    r = load(spark, sf, "region").where("r_regionkey < 3").selectExpr("r_regionkey AS k", "r_name")
+    n = load(spark, sf, "nation").selectExpr("n_regionkey AS k", "n_name")
+    r = load(spark, sf, "region").selectExpr("r_regionkey + 2 AS k", "r_name")
     return natural_join(n, r, "full")
 
 
@@ -99,10 +99,10 @@ def join_salted(spark, sf):
     return salted_join(e.select("user_id", "event_type"), buyers, "user_id").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("join_lateral", "SELECT c_custkey, n, total FROM customer c, LATERAL (SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_custkey = c.c_custkey) WHERE c_custkey < 200")
+@query("join_lateral", "SELECT c_custkey, n, total FROM customer c, LATERAL (SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_custkey = c.c_custkey)")
 def join_lateral(spark, sf):
     views(spark, sf, "customer", "orders")
-    return spark.sql("SELECT c_custkey, n, total FROM customer c, LATERAL (SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_custkey = c.c_custkey) WHERE c_custkey < 200")
+    return spark.sql("SELECT c_custkey, n, total FROM customer c, LATERAL (SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_custkey = c.c_custkey)")
 
 
 @query("join_lateral_left", "SELECT n_nationkey, s_suppkey FROM nation LEFT JOIN LATERAL (SELECT s_suppkey FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000) ON TRUE")
@@ -126,11 +126,11 @@ def join_char_padding(spark, sf):
     return n.join(r, F.rtrim("padded") == F.rtrim("name")).select("n_nationkey", "r_regionkey")
 
 
-@query("join_date_timestamp", "SELECT event_id, d FROM events JOIN (SELECT DISTINCT ts::DATE AS d FROM events) ON date_trunc('day', ts) = d::TIMESTAMP WHERE event_id < 500")
+@query("join_date_timestamp", "SELECT event_id, d FROM events JOIN (SELECT DISTINCT ts::DATE AS d FROM events) ON date_trunc('day', ts) = d::TIMESTAMP")
 def join_date_timestamp(spark, sf):
     e = load(spark, sf, "events")
     days = e.select(F.col("ts").cast("date").alias("d")).distinct()
-    return e.where("event_id < 500").join(days, F.date_trunc("day", "ts").cast("timestamp_ntz") == F.col("d").cast("timestamp_ntz")).select("event_id", "d")
+    return e.join(days, F.date_trunc("day", "ts").cast("timestamp_ntz") == F.col("d").cast("timestamp_ntz")).select("event_id", "d")
 
 
 @query("join_nan_keys", "SELECT a.k AS x, b.k AS y FROM (VALUES (1, 'NaN'::DOUBLE), (2, 1.5), (3, NULL)) a(k, v) JOIN (VALUES (7, 'NaN'::DOUBLE), (8, NULL), (9, 1.5)) b(k, v) ON a.v = b.v")

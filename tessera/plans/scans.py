@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.math import int_divide
@@ -61,11 +60,10 @@ def parameters(spark, sf):
     return spark.sql("SELECT c_custkey, c_name FROM customer WHERE c_nationkey = ? AND c_acctbal > ?", args=[3, 5000])
 
 
-@query("sort_nulls_last", "SELECT row_number() OVER (ORDER BY x NULLS LAST, o_orderkey) AS rn, o_orderkey, x FROM (SELECT o_orderkey, nullif(o_orderstatus, 'O') AS x FROM orders WHERE o_orderkey < 200)")
+@query("sort_nulls_last", "SELECT o_orderkey, nullif(o_orderstatus, 'O') AS x FROM orders ORDER BY x NULLS LAST, o_orderkey")
 def sort_nulls_last(spark, sf):
-    o = load(spark, sf, "orders").where("o_orderkey < 200").select("o_orderkey", F.expr("nullif(o_orderstatus, 'O')").alias("x"))
-    w = W.partitionBy(F.lit(1)).orderBy(*nulls_last("x", "o_orderkey"))
-    return o.select(F.row_number().over(w).cast("bigint").alias("rn"), "o_orderkey", "x").orderBy(*nulls_last("x", "o_orderkey"))
+    o = load(spark, sf, "orders").select("o_orderkey", F.expr("nullif(o_orderstatus, 'O')").alias("x"))
+    return o.orderBy(*nulls_last("x", "o_orderkey"))
 
 
 @query("sort_desc_nulls_last", "SELECT o_orderkey, x FROM (SELECT o_orderkey, nullif(o_orderstatus, 'O') AS x FROM orders) ORDER BY x DESC NULLS LAST, o_orderkey LIMIT 25")
@@ -122,7 +120,7 @@ def generate_series_lateral(spark, sf):
     return lateral_series(load(spark, sf, "nation"), "n_regionkey", "n_regionkey + 2").select("n_nationkey", "value")
 
 
-@query("arithmetic_types", "SELECT l_orderkey, l_linenumber, (l_linenumber::BIGINT + l_partkey) AS plus, (l_partkey // 7)::BIGINT AS quotient, (l_partkey % 7)::BIGINT AS rest, -l_partkey AS minus, l_returnflag || l_linestatus AS joined FROM lineitem WHERE l_orderkey < 500")
+@query("arithmetic_types", "SELECT l_orderkey, l_linenumber, (l_linenumber::BIGINT + l_partkey) AS plus, (l_partkey // 7)::BIGINT AS quotient, (l_partkey % 7)::BIGINT AS rest, -l_partkey AS minus, l_returnflag || l_linestatus AS joined FROM lineitem")
 def arithmetic_types(spark, sf):
-    li = load(spark, sf, "lineitem").where("l_orderkey < 500")
+    li = load(spark, sf, "lineitem")
     return li.select("l_orderkey", "l_linenumber", (F.col("l_linenumber").cast("bigint") + F.col("l_partkey")).alias("plus"), int_divide(F.col("l_partkey"), 7).alias("quotient"), (F.col("l_partkey") % 7).alias("rest"), (-F.col("l_partkey")).alias("minus"), F.concat("l_returnflag", "l_linestatus").alias("joined"))

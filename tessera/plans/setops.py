@@ -25,11 +25,11 @@ for _kind in ("union", "intersect", "except"):
         query(f"{_kind}_{'all' if _all else 'distinct'}", f"SELECT c_nationkey AS k FROM customer {_kind.upper()} {'ALL' if _all else ''} SELECT s_nationkey FROM supplier")(_op)
 
 
-@query("setop_nested", "(SELECT n_nationkey AS k FROM nation ORDER BY n_nationkey DESC LIMIT 5) UNION (SELECT r_regionkey FROM region INTERSECT SELECT n_regionkey FROM nation WHERE n_regionkey > 1)")
+@query("setop_nested", "(SELECT n_nationkey AS k FROM nation ORDER BY n_nationkey DESC LIMIT 5) UNION (SELECT r_regionkey FROM region INTERSECT SELECT n_regionkey FROM nation)")
 def setop_nested(spark, sf):
     n, r = load(spark, sf, "nation"), load(spark, sf, "region")
     top = n.select(F.col("n_nationkey").alias("k")).orderBy(F.desc("k")).limit(5)
-    return set_operation(top, set_operation(r.select("r_regionkey"), n.where("n_regionkey > 1").select("n_regionkey"), "intersect"), "union")
+    return set_operation(top, set_operation(r.select("r_regionkey"), n.select("n_regionkey"), "intersect"), "union")
 
 
 @query("setop_nulls_equal", "SELECT nullif(n_regionkey, 1) AS k FROM nation INTERSECT SELECT nullif(r_regionkey, 1) FROM region")

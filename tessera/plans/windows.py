@@ -84,9 +84,9 @@ def win_range_interval(spark, sf):
     return spark.sql("SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '6' HOUR PRECEDING AND CURRENT ROW) AS n FROM events")
 
 
-@query("win_range_time", "SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY date_part('epoch', ts::TIME) RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS n FROM events WHERE user_id < 40")
+@query("win_range_time", "SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY date_part('epoch', ts::TIME) RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS n FROM events")
 def win_range_time(spark, sf):
-    e = load(spark, sf, "events").where("user_id < 40").withColumn("t", win.range_on_time(F.date_format("ts", "HH:mm:ss.SSSSSS")))
+    e = load(spark, sf, "events").withColumn("t", win.range_on_time(F.date_format("ts", "HH:mm:ss.SSSSSS")))
     return e.select("event_id", F.count("*").over(W.partitionBy("user_id").orderBy("t").rangeBetween(-3_600_000_000, 0)).alias("n"))
 
 
