@@ -32,18 +32,31 @@ _SIDE = frozenset("aside button canvas dialog footer form head iframe input labe
 _RAW = frozenset("script style noscript textarea title template iframe xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disqus footer gdpr header hidden login masthead menu modal nav navbar navigation "
-    "newsletter notice notification notifications outbrain overlay pagination paywall pager popup promo promotion recommend recommended related respond replies sharing share sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar topbar widget widgets".split()
+    "ad ads adsense advert adverts alert advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright discussion disqus footer gdpr header hidden login masthead menu modal nav navbar navigation "
+    "newsletter notice notices notification notifications outbrain overlay pagination paywall pager popup promo promotion recommend recommended related respond replies sharing share sidebar signup skip social sponsor sponsored sponsors subscribe subscription taboola teasers toolbar topbar trending widget widgets".split()
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _CLASS = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-zA-Z]+")
 _NUMBER = re.compile(r"[0-9]+")
+_HAVING = frozenset("with has no without".split())
+_STORY = frozenset("article post entry story content section chapter".split())
+_NEVER = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 _SIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
 #: Containers a page votes for.
 VOTES = 3
 
 
+def _names_side(words: list[str]) -> bool:
+    """Whether a class or id names side matter: by its first word ("ad-slot") or its last ("main-nav"), but neither a layout
+    that only has some ("content-with-sidebar") nor the head of an article ("post-header")."""
+    if not words:
+        return False
+    if words[0] in _SIDE_WORDS:
+        return True
+    return words[-1] in _SIDE_WORDS and not _HAVING & set(words) and not (words[-1] == "header" and words[0] in _STORY)
+
+
 def _is_side(tag: str, attrs: str, inside_main: bool) -> tuple[bool, str]:
     """Whether an element is side matter, and its step in a path."""
     step = tag
@@ -60,12 +73,10 @@ def _is_side(tag: str, attrs: str, inside_main: bool) -> tuple[bool, str]:
                 step = f"{tag}.{_NUMBER.sub('#', '.'.join(sorted(value.split())))}" if value.split() else step
             elif step == tag and value:
                 step = f"{tag}#{_NUMBER.sub('#', value)}"
-        if not side and tag not in ("html", "body", "article", "main"):
-            # a name such as "content-with-sidebar" holds the content: its first or last word decides
+        if not side and tag not in _NEVER:
             for name in " ".join(names).split():
-                words = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))
-                if words and (words[0].lower() in _SIDE_WORDS or (words[-1].lower() in _SIDE_WORDS and not {"content", "main", "article", "body", "post", "page"} & {w.lower() for w in words[:-1]})):
-                    side = True
+                words = [w.lower() for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))]
+                side = side or _names_side(words)
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", attrs or "", re.I):
         side = True
     return side, step
