@@ -25,6 +25,7 @@ import json
 import os
 import tempfile
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,8 +39,14 @@ from tessera.llm.common import bound_batches
 
 #: Words in the lexicon, and distinct words that a worker counts before it hands its counts on.
 LEXICON_WORDS, COUNTED_WORDS = 1 << 16, 1 << 19
-#: Chunks whose ids a worker keeps at hand; they are dropped all at once between two batches.
-KEPT_CHUNKS = 1 << 19
+#: Chunks whose ids a worker keeps at hand; they are dropped all at once between two steps.
+KEPT_CHUNKS = 3 << 17
+#: Characters of the texts that are split at once: chunks take many times the memory of their text.
+AT_ONCE = 1 << 20
+
+
+#: What a split pattern must end with for words() to see its common cases at once, and stops that are one word each after letters.
+_PLAIN, _STOPS = r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", frozenset(".,!?;:")
 
 
 def _byte_letters() -> list[str]:
@@ -83,6 +90,7 @@ class Vocabulary:
         self.ranks = {(a, b): k for k, (a, b) in enumerate(merges)}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = _pattern(split["pattern"]["Regex"])
+        self.plain = split["pattern"]["Regex"].endswith(_PLAIN)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.letters = _byte_letters()
@@ -104,15 +112,20 @@ class Vocabulary:
         return section.lower().encode("utf-8", "surrogatepass")
 
     def words(self, chunk: bytes) -> list[bytes]:
-        if chunk.decode("utf-8", "surrogatepass").isalpha():
-            return [chunk]  # letters only: one word, whatever the pattern's other parts
-        return [w.encode() for w in self.split.findall(chunk.decode("utf-8", "surrogatepass"))]
+        """The words of a chunk without ASCII blanks. Letters alone, or before one ASCII stop, need no look at the pattern."""
+        text = chunk.decode("utf-8", "surrogatepass")
+        if self.plain:
+            if text.isalpha():
+                return [chunk]
+            if text[-1:] in _STOPS and text[:-1].isalpha():
+                return [chunk[:-1], chunk[-1:]]
+        return [w.encode("utf-8", "surrogatepass") for w in self.split.findall(text)]
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merges: always the pair of lowest rank, the leftmost first."""
         if len(word) > 32:
             return self._merge_long(word)
-        sym = [self.letters[b] for b in word]
+        sym = list(map(self.letters.__getitem__, word))
         if not sym:
             return []
         sym[-1] += self.end
@@ -129,7 +142,7 @@ class Vocabulary:
                 ranks[k] = get((sym[k], sym[k + 1]), never)
             if k:
                 ranks[k - 1] = get((sym[k - 1], sym[k]), never)
-        return [self.ids[s] for s in sym if s in self.ids]
+        return [k for k in map(self.ids.get, sym) if k is not None]
 
     def _merge_long(self, word: bytes) -> list[int]:
         """The same with a heap, which keeps a long word at n log n."""
@@ -210,7 +223,7 @@ class Lexicon:
     """A compiled lexicon, mapped into memory."""
 
     def __init__(self, path: str):
-        raw = np.memmap(path, np.uint8, "r")
+        raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
         self.root, n, edges, words, flat = (int(x) for x in raw[:20].view("<i4"))
         at = 20
         parts = []
@@ -264,12 +277,23 @@ class Codec:
         parts = {c: self.v.words(c) for c in chunks}
         words = list({w for ws in parts.values() for w in ws})
         found = self.lexicon.find(words) if self.lexicon else [None] * len(words)
-        ids = {w: f if f is not None else np.array(self.v.merge(w), "<u4").tobytes() for w, f in zip(words, found, strict=True)}
+        ids = {w: f if f is not None else array("I", self.v.merge(w)).tobytes() for w, f in zip(words, found, strict=True)}
         for c, ws in parts.items():
             self.kept[c] = ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])
 
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def encode_batch(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers, step by step."""
+        step: list[str] = []
+        size = 0
+        for text in texts:
+            step.append(text or "")
+            size += len(step[-1])
+            if size >= AT_ONCE:
+                yield from self._step(step)
+                step, size = [], 0
+        yield from self._step(step)
+
+    def _step(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) >= KEPT_CHUNKS:
             self.kept.clear()
         v, kept = self.v, self.kept
@@ -277,7 +301,7 @@ class Codec:
         new: set[bytes] = set()
         for text in texts:
             sections = []
-            for s in v.parts.split(text or "") if v.parts and "<|" in (text or "") else [text or ""]:
+            for s in v.parts.split(text) if v.parts and "<|" in text else [text]:
                 if s in v.special:
                     sections.append(v.special[s])
                 else:
@@ -290,7 +314,7 @@ class Codec:
         return [b"".join([np.array([s], "<u4").tobytes() if isinstance(s, int) else b"".join(map(get, s)) for s in sections]) for sections in split]
 
     def encode(self, text: str) -> bytes:
-        return self.encode_batch([text])[0]
+        return self._step([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the tokens' letters, joined by spaces."""

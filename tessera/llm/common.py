@@ -2,39 +2,20 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import ship_package
+
 #: Bits of the largest bitmap filter: 16 MB, whatever the size of the data.
 MAX_FILTER_BITS = 1 << 27
 #: Rows and bytes of the Arrow batches that go to Python, so that long texts don't pile up in one batch.
-BATCH_ROWS, BATCH_BYTES = 2000, 32 << 20
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give this package's source to the Python workers, once an application, wherever the driver runs."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = Path(__file__).resolve().parents[1]
-    path = os.path.join(tempfile.mkdtemp(prefix="tessera-"), "tessera_package.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    spark.sparkContext.addPyFile(path)
-    _SHIPPED.add(app)
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:

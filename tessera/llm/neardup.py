@@ -57,7 +57,7 @@ class _Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 1 << 18:
+        if len(self) < 1 << 17:
             self[word] = h
         return h
 
