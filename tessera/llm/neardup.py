@@ -17,7 +17,7 @@ the threshold are confirmed on full sets. A pair at the threshold of 0.75 misses
 0.25**16, about 2e-10, and the sketch filter with 1e-7; BRANCH choices in each large node keep 98 % of those that got there,
 in each of twelve trees on average.
 
-Components come from large-star and small-star rounds in Spark. No links, components or fingerprints go to the driver.
+Components come from one task for few links, else from large-star and small-star rounds in Spark. No links, components or fingerprints go to the driver.
 
 Defined results: a null text, or one without words, has an empty set, links with nothing and is its own component; texts of
 fewer than five words are one shingle; repeated rows (same doc_id) share a class; a null doc_id gets a null component and is
@@ -38,6 +38,8 @@ WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 ROOTS, BRANCH, DEPTH = 16, 3, 4
 #: Documents of a node that are compared at once in one expression, and in one task; shingles of a node in one task.
 SMALL, NODE, NODE_SHINGLES = 48, 8192, 8_000_000
+#: Links that one task joins up; more take distributed rounds.
+ONE_TASK = 1 << 18
 #: Bits of a sketch, and the most differing bits of two that may reach the threshold: 32 are expected at 0.75, 60 is over five deviations more.
 BITS, MOST_BITS = 256, 60
 #: A sketch's columns.
@@ -185,14 +187,38 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def _union_find(batches):
+    """Components of all links of a partition."""
+    parts = [np.stack([b.column("u").to_numpy(), b.column("v").to_numpy()]) for b in batches]
+    if not parts:
+        return
+    names, at = np.unique(np.concatenate(parts, axis=1), return_inverse=True)
+    up = list(range(len(names)))
+    for x, y in zip(*at.reshape(2, -1).tolist(), strict=True):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        while up[y] != y:
+            up[y] = up[up[y]]
+            y = up[y]
+        up[max(x, y)] = min(x, y)
+    for x in range(len(up)):  # a parent is smaller than its children
+        up[x] = up[up[x]]
+    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(names[up])], ["v", "c"])
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(v, c) for each vertex of links (a, b): c is the smallest vertex that it reaches. Rounds of large-star and small-star,
-    each written to the shared folder; they end when a round changes nothing, after about log(n) rounds."""
+    """(v, c) for each vertex of links (a, b): c is the smallest vertex that it reaches. Up to ONE_TASK links are joined up in one task,
+    on an executor. More take rounds of large-star and small-star, each written to the shared folder; they end when all
+    components are stars, after about log(n) rounds. Both give the same rows."""
     edges = cut(links.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").where("u <> v").distinct(), "edges")
+    if edges.count() <= ONE_TASK:
+        bound_batches(edges.sparkSession)
+        return edges.coalesce(1).mapInArrow(_union_find, "v long, c long")
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(low, "u").selectExpr("v AS u", "m AS v").where("u <> v").distinct()
+        large = both.where("v > u").join(low, "u").selectExpr("v AS u", "m AS v").where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.expr("array(struct(v AS u, m AS v), struct(u AS u, m AS v))")).alias("x")).select("x.*").where("u <> v").distinct()
         edges = cut(small, "edges")

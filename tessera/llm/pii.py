@@ -52,15 +52,21 @@ _DIGITS = {
 _ODD = re.compile("[" + "".join(map(re.escape, [*_GLYPHS, *_UNSEEN])) + "]")
 _NUMBER = "|".join(sorted(_DIGITS, key=len, reverse=True))
 #: Four number words in a row at least; blanks, dashes or dots between them.
-_SPELLED = re.compile(rf"(?<!\w)(?:{_NUMBER})(?:[\x20.,-]{{1,2}}(?:{_NUMBER}|[0-9]+|plus))*(?!\w)", re.I)
+_SPELLED = re.compile(rf"(?<!\w)(?:{_NUMBER})(?:[\x20.,-]{{1,3}}(?:{_NUMBER}|[0-9]+|plus))*(?!\w)", re.I)
 _SPELLED_WORD = re.compile(rf"{_NUMBER}|plus", re.I)
 _AT = r"[\x20]{0,3}[\[({<][\x20]{0,3}(?:at|@|arroba|ät)[\x20]{0,3}[\])}>][\x20]{0,3}"
 _DOT = r"[\x20]{0,3}[\[({<][\x20]{0,3}(?:dot|\.|punkt|point|punto)[\x20]{0,3}[\])}>][\x20]{0,3}"
-#: The middle of a disguised address: a bracketed at, or a bare one before a label and a dot of any kind.
-_DISGUISE = re.compile(rf"(?<=[A-Za-z0-9])(?:(?P<at>{_AT})|(?P<bare>[\x20]at[\x20])|(?P<plain>[\x20]{{0,2}}@[\x20]{{0,2}}))(?P<rest>[A-Za-z0-9-]+(?:(?:{_DOT}|[\x20]dot[\x20]|\.)[A-Za-z0-9-]+)+)", re.I)
-_ANY_DOT = re.compile(rf"{_DOT}|[\x20]dot[\x20]", re.I)
-_DIGIT_DOT = re.compile(rf"(?<=[0-9])(?:{_DOT}|[\x20]dot[\x20])(?=[0-9])", re.I)
-_HINT = re.compile(r"[\[({<][\x20]*(?:\.|at|@|arroba|ät)|\bat[\x20]|@[\x20]|[\x20]@|dot", re.I)
+#: A dot in words or brackets, or one set apart by spaces.
+_WORD_DOT = rf"(?:{_DOT}|[\x20]dot[\x20]|[\x20]\.[\x20])"
+#: A disguised address: its local part, a bracketed at, a bare one or a spaced sign, and labels with dots of any kind.
+_DISGUISE = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9_%+-](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?+(?:(?:{_DOT}|[\x20]dot[\x20])[A-Za-z0-9._%+-]+)*)(?:(?P<at>{_AT})|(?P<bare>[\x20]at[\x20])|(?P<plain>[\x20]{{0,2}}@[\x20]{{0,2}}))(?P<rest>[A-Za-z0-9-]+(?:(?:{_WORD_DOT}|\.)[A-Za-z0-9-]+)+)", re.I
+)
+#: Four groups of four digits apart by dots, underscores or slashes.
+_GROUPED = re.compile(r"(?<![0-9._/])[0-9]{4}([._/])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])")
+_ANY_DOT = re.compile(_WORD_DOT, re.I)
+_DIGIT_DOT = re.compile(rf"(?<=[0-9]){_WORD_DOT}(?=[0-9])", re.I)
+_HINT = re.compile(r"[\[({<][\x20]*(?:\.|at|@|arroba|ät)|\bat[\x20]|@[\x20]|[\x20]@|dot|[0-9][\x20]\.[\x20][0-9]|[0-9]{4}([._/])[0-9]{4}\1", re.I)
 _FEW = re.compile(rf"\b(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER})\b", re.I)
 
 Span = tuple[int, int]
@@ -132,7 +138,7 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
         if sum(w.lower() in _DIGITS for w in words) >= 4:
             start = m.start()
             lead = re.search(r"(?i)plus[\x20]\Z", text[max(0, start - 5) : start])
-            edits.append((start - (5 if lead else 0), m.end(), ("+" if lead else "") + _SPELLED_WORD.sub(lambda w: _DIGITS.get(w[0].lower(), "+"), re.sub(rf"(?<=[a-zü])[\x20.,-]{{1,2}}(?=[a-z])", "", m[0], flags=re.I))))
+            edits.append((start - (5 if lead else 0), m.end(), ("+" if lead else "") + _SPELLED_WORD.sub(lambda w: _DIGITS.get(w[0].lower(), "+"), re.sub(rf"(?<=[a-zü])[\x20.,-]{{1,3}}(?=[a-z])", "", m[0], flags=re.I))))
     return edits
 
 
@@ -145,7 +151,8 @@ def _disguised(text: str) -> list[tuple[int, int, str]]:
         if m["plain"] and m["plain"] == "@" and not _ANY_DOT.search(rest):
             continue  # an address as it is
         a, b = m.span("rest")
-        edits.append((m.start(), a, "@"))
+        edits += [(m.start() + d.start(), m.start() + d.end(), ".") for d in _ANY_DOT.finditer(m["local"])]
+        edits.append((m.end("local"), a, "@"))
         edits += [(a + d.start(), a + d.end(), ".") for d in _ANY_DOT.finditer(rest)]
     return edits
 
@@ -154,6 +161,10 @@ def _parted(text: str) -> list[tuple[int, int, str]]:
     return [(*m.span(), ".") for m in _DIGIT_DOT.finditer(text)]
 
 
+def _grouped(text: str) -> list[tuple[int, int, str]]:
+    return [(at, at + 1, "-") for m in _GROUPED.finditer(text) for at in (m.start() + 4, m.start() + 9, m.start() + 14)]
+
+
 def normalise(text: str) -> _Tape | None:
     """The text without disguises, or None if it holds none."""
     odd = _ODD.search(text)
@@ -164,7 +175,7 @@ def normalise(text: str) -> _Tape | None:
     if odd:
         tape.rewrite([(m.start(), m.end(), _GLYPHS.get(m[0], "")) for m in _ODD.finditer(text)])
         changed = True
-    for rules in (_spelled, _disguised, _parted):
+    for rules in (_spelled, _disguised, _parted, _grouped):
         if edits := rules(tape.text):
             tape.rewrite(edits)
             changed = True

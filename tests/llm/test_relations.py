@@ -146,9 +146,10 @@ def family():
 def test_near_duplicates_match_brute_force(spark, family, monkeypatch):
     want, sets = _components(family)
     docs = spark.createDataFrame(list(family.items()), "doc_id long, text string").withColumn("n", F.lit("clash")).withColumn("path", F.lit(1))
-    for small, node in ((48, 8192), (8, 40)):  # the second makes nodes branch and be joined
+    for small, node, task in ((48, 8192, 1 << 18), (8, 40, 0)):  # the second makes nodes branch and be joined, and components take rounds
         monkeypatch.setattr(neardup, "SMALL", small)
         monkeypatch.setattr(neardup, "NODE", node)
+        monkeypatch.setattr(neardup, "ONE_TASK", task)
         got = {r["doc_id"]: r for r in neardup.near_duplicates(docs).collect()}
         assert {k: r["component_id"] for k, r in got.items()} == want
         assert {k: r["n_shingles"] for k, r in got.items()} == {k: len(s) for k, s in sets.items()}
