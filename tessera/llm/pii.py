@@ -3,10 +3,11 @@
 Base spans come from four fixed patterns over the text as it is. A transducer then rewrites disguises (homoglyphs, wide
 and invisible characters, spelled digits, "at"/"dot" words) into plain characters and keeps, for each character that
 it writes, the source span it stands for. The same detectors read its output, and what they find there maps back to
-source offsets. Such a span is added unless it overlaps a base span; base spans always stay.
+source offsets. Such a span is added unless it lies inside a base span; base spans always stay, so that an identifier of which
+only a part is disguised has both the base span of its plain part and the span of the whole. Redaction takes their union.
 
-Offsets are code points, the end exclusive. Defined results: a null or empty text has no spans; ties cannot occur, as
-spans of one kind never overlap; repeated rows are scanned one by one; long texts are scanned whole; an empty table gives
+Offsets are code points, the end exclusive. Defined results: a null or empty text has no spans; spans of a kind are in order
+of their starts, then ends; repeated rows are scanned one by one; long texts are scanned whole; an empty table gives
 an empty result; further columns are ignored.
 """
 
@@ -69,6 +70,9 @@ _DIGIT_DOT = re.compile(rf"(?<=[0-9]){_WORD_DOT}(?=[0-9])", re.I)
 _HINT = re.compile(r"[\[({<][\x20]*(?:\.|at|@|arroba|ät)|\bat[\x20]|@[\x20]|[\x20]@|dot|[0-9][\x20]\.[\x20][0-9]|[0-9]{4}([._/])[0-9]{4}\1", re.I)
 _FEW = re.compile(rf"\b(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER})\b", re.I)
 
+#: A spaced dot before a capital, which ends a sentence if the address before it is whole.
+_STOP = re.compile(r"[\x20]\.[\x20](?=[A-Z])")
+
 Span = tuple[int, int]
 
 
@@ -146,11 +150,12 @@ def _disguised(text: str) -> list[tuple[int, int, str]]:
     edits = []
     for m in _DISGUISE.finditer(text):
         rest = m["rest"]
-        if m["bare"] and not _ANY_DOT.search(rest):
-            continue  # "at home.page" is prose
-        if m["plain"] and m["plain"] == "@" and not _ANY_DOT.search(rest):
-            continue  # an address as it is
-        a, b = m.span("rest")
+        if m["plain"] == "@" and (stop := _STOP.search(rest)) and "." in rest[: stop.start()] and not _ANY_DOT.search(rest[: stop.start()]):
+            rest = rest[: stop.start()]
+        # "at home.page" is prose, and a plain sign makes an address as it is
+        if (m["bare"] or m["plain"] == "@") and not (_ANY_DOT.search(rest) or _ANY_DOT.search(m["local"])):
+            continue
+        a = m.start("rest")
         edits += [(m.start() + d.start(), m.start() + d.end(), ".") for d in _ANY_DOT.finditer(m["local"])]
         edits.append((m.end("local"), a, "@"))
         edits += [(a + d.start(), a + d.end(), ".") for d in _ANY_DOT.finditer(rest)]
@@ -191,7 +196,7 @@ def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
         for kind, spans in detect(tape.text).items():
             for a, b in spans:
                 start, end = tape.starts[a], tape.ends[b - 1]
-                if not any(s < end and start < e for s, e in taken):
+                if not any(s <= start and end <= e for s, e in taken):
                     every[kind].append((start, end))
             every[kind].sort()
     return base, every
@@ -218,15 +223,14 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def redact(text: str) -> str:
-    """The text with each span replaced by a tag of its kind; of overlapping spans of two kinds the first, then longer, one."""
+    """The text with a tag in place of each span; overlapping spans become one, with the kind of the first, then longer, one."""
     spans = sorted(((a, -b, k) for k, v in find(text)[1].items() for a, b in v))
-    parts, last = [], 0
+    parts, last, end = [], 0, -1
     for a, b, kind in spans:
-        if a >= last:
+        if a >= end:
             parts += [text[last:a], f"[{kind.upper()}]"]
-            last = -b
-        else:
-            last = max(last, -b)
+            end = -b
+        last = end = max(end, -b)
     return "".join([*parts, text[last:]])
 
 

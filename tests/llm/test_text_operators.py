@@ -118,6 +118,24 @@ def test_pii_disguises(text, kind, span):
     assert span not in pii.redact(text)
 
 
+@pytest.mark.parametrize(
+    ("text", "whole"),
+    [
+        ("x jаne.doe@example.com y", "jаne.doe@example.com"),
+        ("x bob@mail.exаmple.com y", "bob@mail.exаmple.com"),
+        ("x bob@mail.example dot com y", "bob@mail.example dot com"),
+        ("x jane [dot] doe@example.com y", "jane [dot] doe@example.com"),
+    ],
+)
+def test_pii_partly_disguised(text, whole):
+    base, every = pii.find(text)
+    start = text.index(whole)
+    assert (start, start + len(whole)) in every["email"]
+    assert base["email"] and set(base["email"]) < set(every["email"])
+    assert pii.redact(text) == "x [EMAIL] y"
+    assert pii.redact("mail jane@example.com . Thanks") == "mail [EMAIL] . Thanks"
+
+
 def test_pii_leaves_prose_alone(docs):
     for text in ("We met at home. The dot was red.", "one two three", "version 1.2.3", "at 5 dot"):
         assert not any(pii.find(text)[1].values())
