@@ -52,13 +52,17 @@ _DIGITS = {
 }
 _ODD = re.compile("[" + "".join(map(re.escape, [*_GLYPHS, *_UNSEEN])) + "]")
 _NUMBER = "|".join(sorted(_DIGITS, key=len, reverse=True))
-#: Four number words in a row at least; blanks, dashes or dots between them.
-_SPELLED = re.compile(rf"(?<!\w)(?:{_NUMBER})(?:[\x20.,-]{{1,3}}(?:{_NUMBER}|[0-9]+|plus))*(?!\w)", re.I)
-_SPELLED_WORD = re.compile(rf"{_NUMBER}|plus", re.I)
-_AT = r"[\x20]{0,3}[\[({<][\x20]{0,3}(?:at|@|arroba|ät)[\x20]{0,3}[\])}>][\x20]{0,3}"
-_DOT = r"[\x20]{0,3}[\[({<][\x20]{0,3}(?:dot|\.|punkt|point|punto)[\x20]{0,3}[\])}>][\x20]{0,3}"
+_GAP = r"[\x20]{0,3}"
+_AT_CORE = rf"[\[({{<]{_GAP}(?:at|@|arroba|ät){_GAP}[\])}}>]"
+_DOT_CORE = rf"[\[({{<]{_GAP}(?:dot|\.|punkt|point|punto){_GAP}[\])}}>]"
+_AT, _DOT = _GAP + _AT_CORE + _GAP, _GAP + _DOT_CORE + _GAP
 #: A dot in words or brackets, or one set apart by spaces.
 _WORD_DOT = rf"(?:{_DOT}|[\x20]dot[\x20]|[\x20]\.[\x20])"
+#: Number words and digits in a row; blanks, dashes or dots between them, or a dot in words or brackets.
+_SPELLED_STEP = rf"(?:(?P<dot>{_DOT}|[\x20]dot[\x20])|[\x20.,-]{{1,3}})"
+_SPELLED_ITEM = rf"(?:{_NUMBER}|[0-9]++|plus)"
+_SPELLED = re.compile(rf"(?<!\w){_SPELLED_ITEM}(?:{_SPELLED_STEP.replace('?P<dot>', '?:')}{_SPELLED_ITEM})+(?!\w)", re.I)
+_SPELLED_PART = re.compile(rf"(?P<step>{_SPELLED_STEP})?(?P<item>{_SPELLED_ITEM})", re.I)
 #: A disguised address: its local part, a bracketed at, a bare one or a spaced sign, and labels with dots of any kind.
 _DISGUISE = re.compile(
     rf"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9_%+-](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?+(?:(?:{_DOT}|[\x20]dot[\x20])[A-Za-z0-9._%+-]+)*)(?:(?P<at>{_AT})|(?P<bare>[\x20]at[\x20])|(?P<plain>[\x20]{{0,2}}@[\x20]{{0,2}}))(?P<rest>[A-Za-z0-9-]+(?:(?:{_WORD_DOT}|\.)[A-Za-z0-9-]+)+)", re.I
@@ -67,9 +71,9 @@ _DISGUISE = re.compile(
 _GROUPED = re.compile(r"(?<![0-9._/])[0-9]{4}([._/])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])")
 _ANY_DOT = re.compile(_WORD_DOT, re.I)
 _DIGIT_DOT = re.compile(rf"(?<=[0-9]){_WORD_DOT}(?=[0-9])", re.I)
-_HINT = re.compile(r"[\[({<][\x20]*(?:\.|at|@|arroba|ät)|\bat[\x20]|@[\x20]|[\x20]@|dot|[0-9][\x20]\.[\x20][0-9]|[0-9]{4}([._/])[0-9]{4}\1", re.I)
-_FEW = re.compile(rf"\b(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER})\b", re.I)
-
+#: What any match of a transducer's pattern holds, from the same alternatives: a text without it is left as it is.
+_HAS_AT = re.compile(rf"@|[\x20]at[\x20]|{_AT_CORE}", re.I)
+_HAS_DOT = re.compile(rf"{_DOT_CORE}|[\x20]dot[\x20]|[\x20]\.[\x20]", re.I)
 #: A spaced dot before a capital, which ends a sentence if the address before it is whole.
 _STOP = re.compile(r"[\x20]\.[\x20](?=[A-Z])")
 
@@ -136,13 +140,31 @@ class _Tape:
 
 
 def _spelled(text: str) -> list[tuple[int, int, str]]:
+    """Digits for number words: in rows of four words at least, or in rows with the three dots of an address."""
     edits = []
     for m in _SPELLED.finditer(text):
-        words = _SPELLED_WORD.findall(m[0])
-        if sum(w.lower() in _DIGITS for w in words) >= 4:
-            start = m.start()
-            lead = re.search(r"(?i)plus[\x20]\Z", text[max(0, start - 5) : start])
-            edits.append((start - (5 if lead else 0), m.end(), ("+" if lead else "") + _SPELLED_WORD.sub(lambda w: _DIGITS.get(w[0].lower(), "+"), re.sub(rf"(?<=[a-zü])[\x20.,-]{{1,3}}(?=[a-z])", "", m[0], flags=re.I))))
+        row = list(_SPELLED_PART.finditer(text, m.start(), m.end()))
+        words = sum(r["item"].lower() in _DIGITS for r in row)
+        if not (words >= 4 or words and sum(r["dot"] is not None for r in row) >= 3):
+            continue
+        # digits of each part between dots: a part of an address is short
+        part, sizes = [], [0]
+        for r in row:
+            if r["dot"] is not None:
+                sizes.append(0)
+            part.append(len(sizes) - 1)
+            sizes[-1] += len(r["item"]) if r["item"][0] in "0123456789" else 1
+        for k, r in enumerate(row):
+            a, b = r.span("item")
+            spelled = r["item"][0] not in "0123456789"
+            if k and r["dot"] is not None:
+                edits.append((*r.span("step"), "."))
+            elif k and (spelled or row[k - 1]["item"][0] not in "0123456789"):
+                before = row[k - 1]["item"]
+                close = spelled and before[0] not in "0123456789" or before.lower() == "plus" or len(sizes) > 1 and sizes[part[k]] <= 3
+                edits.append((*r.span("step"), "" if close else " "))
+            if spelled:
+                edits.append((a, b, _DIGITS.get(r["item"].lower(), "+")))
     return edits
 
 
@@ -170,18 +192,21 @@ def _grouped(text: str) -> list[tuple[int, int, str]]:
     return [(at, at + 1, "-") for m in _GROUPED.finditer(text) for at in (m.start() + 4, m.start() + 9, m.start() + 14)]
 
 
-def normalise(text: str) -> _Tape | None:
-    """The text without disguises, or None if it holds none."""
-    odd = _ODD.search(text)
-    if not (odd or _HINT.search(text) or _FEW.search(text)):
-        return None
+#: Transducers in their order, each with what its matches hold.
+_RULES = ((_spelled, None), (_disguised, _HAS_AT), (_parted, _HAS_DOT), (_grouped, None))
+
+
+def normalise(text: str, guarded: bool = True) -> _Tape | None:
+    """The text without disguises, or None if it holds none. The guards only spare time."""
     tape = _Tape(text)
     changed = False
-    if odd:
-        tape.rewrite([(m.start(), m.end(), _GLYPHS.get(m[0], "")) for m in _ODD.finditer(text)])
+    if edits := [(m.start(), m.end(), _GLYPHS.get(m[0], "")) for m in _ODD.finditer(text)]:
+        tape.rewrite(edits)
         changed = True
-    for rules in (_spelled, _disguised, _parted, _grouped):
-        if edits := rules(tape.text):
+    for rule, guard in _RULES:
+        if guarded and guard and not guard.search(tape.text):
+            continue
+        if edits := rule(tape.text):
             tape.rewrite(edits)
             changed = True
     return tape if changed else None
