@@ -3,7 +3,10 @@
 A first pass scores each page's containers by the text that they hold outside links and side matter. Every page votes, with these scores,
 for its best containers' paths (tags with their classes, numbers generalised). Spark adds the votes up by host and path, and
 the path with most votes is the host's. A second pass extracts the main text again from what lies at that path; a page
-of another layout falls back on its own best container.
+of another layout falls back on its own best container. The container that wins may be a part of the article only, so the text
+climbs from it: all of an enclosing article or main is taken, and of the other containers around it all parts that are not mostly
+links. Beside the containers of a body lies much that no class names, so only headings, paragraphs and parts with a name of
+article matter are taken there.
 
 The votes are small rows that are added up before they are shuffled, so a host with any number of pages is no hot group. The
 winning paths, a row a host, are joined to the pages by host: Spark broadcasts them if its size check allows it, and else
@@ -41,10 +44,16 @@ _WORD = re.compile(r"[a-zA-Z]+")
 _NUMBER = re.compile(r"[0-9]+")
 _HAVING = frozenset("with has no without".split())
 _STORY = frozenset("article post entry story content section chapter".split())
+#: Names of the parts of an article, and elements that hold running text or headings.
+_PARTS = _STORY | frozenset("author body byline dateline deck dek headline intro introduction lead lede part standfirst subtitle summary text title".split())
+_CREDITS = frozenset("author byline dateline headline".split())
+_PROSE = frozenset("blockquote figcaption h1 h2 h3 h4 h5 h6 p pre".split())
 _NEVER = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 _SIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
 #: Containers a page votes for.
 VOTES = 3
+#: The share of links from which a part beside the winner is no article matter.
+LINKED = 0.25
 
 
 def _names_side(words: list[str]) -> bool:
@@ -88,7 +97,7 @@ class Page:
     def __init__(self, html: str | None):
         self.paths: list[str] = []  # of each container that holds something
         self.parents: list[int] = []
-        self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
+        self.blocks: list[tuple[int, str, int, str]] = []  # container, text, characters in links, element
         self._read(html or "")
 
     def _read(self, html: str) -> None:
@@ -97,6 +106,7 @@ class Page:
         self.parents.append(-1)
         parts: list[str] = []
         linked = side_depth = in_link = 0
+        kind = ""
         pos, end = 0, len(html)
 
         def flush() -> None:
@@ -104,7 +114,7 @@ class Page:
             if parts:
                 text = " ".join(entities.unescape("".join(parts)).split())
                 if text:
-                    self.blocks.append((stack[-1][1], text, min(linked, len(text))))
+                    self.blocks.append((stack[-1][1], text, min(linked, len(text)), kind))
                 parts.clear()
             linked = 0
 
@@ -129,6 +139,7 @@ class Page:
                     in_link = max(0, in_link - 1)
                 if tag in _BLOCKS and not side_depth:
                     flush()
+                    kind = ""
                 if any(s[0] == tag for s in stack[1:]):
                     if not side_depth:
                         flush()
@@ -148,6 +159,8 @@ class Page:
             side, step = (False, tag) if tag in ("p", "b", "i", "a", "li", "br", "em", "strong", "span") and not attrs.strip() else _is_side(tag, attrs, any(s[0] in ("article", "main") for s in stack))
             if (tag in _BLOCKS or side) and not side_depth:
                 flush()
+                if tag not in _VOID:
+                    kind = "" if side else tag
             if tag in _VOID or attrs.endswith("/"):
                 continue
             if side or tag in _CONTAINERS or side_depth and tag in _SIDE:
@@ -167,7 +180,7 @@ class Page:
         a container that only wraps another does not score higher than it."""
         n = len(self.paths)
         own, total = [0.0] * n, [0.0] * n
-        for c, text, linked in self.blocks:
+        for c, text, linked, _ in self.blocks:
             own[c] += len(text) - 2 * linked
         for c in range(n - 1, -1, -1):
             total[c] += own[c]
@@ -189,14 +202,47 @@ class Page:
         return sorted(by.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
 
     def text(self, path: str | None) -> str:
-        """The blocks at a path, joined; of the page's own best path if it has none there."""
+        """The blocks at a path and the article matter around it, joined; of the page's own best path if it has none there."""
         if path not in self.paths:
             best = self.ranked()
             path = best[0][0] if best else ""
-        inside = [False] * len(self.paths)
-        for c in range(len(self.paths)):
-            inside[c] = self.paths[c] == path or (self.parents[c] >= 0 and inside[self.parents[c]])
-        return "\n".join(text for c, text, _ in self.blocks if inside[c])
+        n, parents = len(self.paths), self.parents
+        steps = [p.rpartition("/")[2] for p in self.paths]
+        whole = [re.split("[.#]", step, maxsplit=1)[0] in ("article", "main") for step in steps]
+        chosen = [p == path for p in self.paths]
+        around = [False] * n  # containers that hold a chosen one
+        chars, links, prose = [0] * n, [0] * n, [0] * n
+        for c, text, linked, kind in self.blocks:
+            chars[c] += len(text)
+            links[c] += linked
+            prose[c] += len(text) if kind in _PROSE else 0
+        own = list(zip(chars, links, strict=True))
+        for c in range(n - 1, 0, -1):
+            around[parents[c]] |= chosen[c] or around[c]
+            chars[parents[c]] += chars[c]
+            links[parents[c]] += links[c]
+            prose[parents[c]] += prose[c]
+        # IN: taken whole; ROUND: holds a chosen container; REST: beside one and mostly links, where only headlines count
+        IN, ROUND, REST = 0, 1, 2
+        state = [REST] * n
+        for c in range(n):
+            above = parents[c]
+            names = {w.lower() for w in _WORD.findall(steps[c].partition(".")[2] or steps[c].partition("#")[2])}
+            if chosen[c] or (above >= 0 and state[above] == IN) or (around[c] and whole[c]):
+                state[c] = IN
+            elif around[c]:
+                state[c] = ROUND
+            elif state[above] == ROUND and (_CREDITS & names or links[c] <= LINKED * chars[c] and (_PARTS & names or not self._is_root(above) or 2 * prose[c] > chars[c])):
+                state[c] = IN
+        out = []
+        for c, text, linked, kind in self.blocks:
+            few = own[c][1] <= LINKED * own[c][0] or 2 * linked <= len(text)
+            if state[c] == IN or (state[c] == ROUND and few and (kind in _PROSE or not self._is_root(c))) or (state[c] == REST and kind == "h1" and not linked):
+                out.append(text)
+        return "\n".join(out)
+
+    def _is_root(self, c: int) -> bool:
+        return not self.paths[c] or self.parents[c] == 0 and re.split("[.#]", self.paths[c], maxsplit=1)[0] == "body"
 
 
 _VOTES = "host string, path string, score double"

@@ -234,6 +234,28 @@ def test_html_layouts():
     assert html.Page("<p>a<p>b<script>x</script>").text(None) == "a\nb"
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<article><h1>{h}</h1><div class="article-body">{b}</div></article>', "h b"),
+        ('<main><h1>{h}</h1><p>By <a href="/x">Jane</a></p><div class="content">{b}</div></main>', "h By Jane b"),
+        ('<body><div class="page"><div class="lead">{h}{h}</div><div class="article-body">{b}</div></div></body>', "hh b"),
+        ('<body><div class="page"><h1>{h}</h1><div class="byline">By <a href="/x">Jane</a></div><div class="text-1">{b}</div><div class="text-2">{b}</div></div></body>', "h By Jane b b"),
+        ('<body><h1>{h}</h1><div class="lead">{h}</div><div class="article-body">{b}</div><footer>f</footer></body>', "h h b"),
+        ('<body><div class="page"><h1>{h}</h1><div class="article-body">{b}</div><div class="more"><a href="/y">{h}</a></div><div class="sidebar">{h}</div></div></body>', "h b"),
+        ('<body><div class="article-body">{b}</div><div class="box">{h}</div></body>', "b"),
+    ],
+)
+def test_html_climbs_to_the_whole_article(spark, page, want):
+    h, b = ("head " * 12).strip(), ("body " * 240).strip()
+    page = page.format(h=h, b=b)
+    want = " ".join({"h": h, "hh": h + h, "b": b}.get(w, w) for w in want.split())
+    assert " ".join(html.Page(page).text(None).split()) == want
+    rows = [(k, "http://h.example/x", page) for k in range(3)]
+    out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert [" ".join(r["text"].split()) for r in out] == [want] * 3
+
+
 def test_html_host_vote(spark):
     story = "<p>" + "word " * 40 + "</p>"
     common = f'<div class="story">{story}</div><div class="links-{{}}">{"text " * 20}</div>'
