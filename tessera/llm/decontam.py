@@ -3,21 +3,24 @@
 A fixed mask selects some positions of a window of tokens and ignores the others, so a window still hashes to the same
 value when a token at an ignored position was substituted. The hashes of all windows of the benchmark form an index; every
 window of every document is looked up in it. A hit fixes how document and item lie on each other, and the whole
-item is compared token by token there: an overlap counts if enough tokens agree and enough of what lies on each other does.
+item is compared token by token there: an overlap counts if any stretch has enough agreeing tokens, and a large enough share
+of them. A short item needs fewer tokens, and further masks that select less look for it.
 
 The index holds the benchmark's tokens, nothing of the documents. It is broadcast only up to BLOCK_TOKENS tokens; a larger
 benchmark is cut into blocks of that size, with one pass over the documents for each. A pass has no shuffle. The overlaps,
 few, are then aggregated by document and item.
 
 Tokens are runs of letters and digits in lower case. Defined results: null and empty texts, on either side, overlap with
-nothing; items of fewer than MIN_TOKENS tokens must be found whole, if they have SHORTEST tokens at least; an item or document that
+nothing; items of fewer than SHORTEST tokens must be found whole, those of fewer than EXACT tokens are not looked for; an item or document that
 comes twice counts as one (by id) for pairs; empty tables give no overlaps; further columns are ignored; long
 texts are searched whole; among equally good overlaps of a pair the first is reported.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +32,12 @@ from tessera.llm.common import bound_batches
 
 #: The masks: 1 selects a position. Each ignores other positions, so that one substitution within a window leaves a hit.
 MASKS = ("11011101", "10111011", "11101101", "111111")
-#: Tokens that must agree, and the share of agreeing tokens among those that lie on each other from the first to the last hit.
-MIN_TOKENS, MIN_SHARE, SHORTEST = 13, 0.7, 6
+#: Masks for items of up to so many tokens, in which a few substitutions may leave no window of the others. With MIN_SHARE of the tokens
+#: agreeing there are three in a row, or two pairs with one or two tokens between them.
+LIGHT_MASKS = {"111": 32, "11011": 32, "1101011": 8}
+#: Tokens that must agree (of short items the share), and the share of agreeing tokens from the first to the last of a stretch. Items under
+#: SHORTEST tokens tolerate nothing; under EXACT tokens they are common words rather than passages.
+MIN_TOKENS, MIN_SHARE, SHORTEST, EXACT = 13, 0.7, 6, 4
 #: Tokens of the benchmark in one broadcast index: about 100 MB in a worker at the most.
 BLOCK_TOKENS = 1 << 20
 
@@ -42,23 +49,25 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall((text or "").lower())
 
 
-def _hashes(ids: np.ndarray, mask: str) -> np.ndarray:
-    """Hashes of the windows of a mask; windows with an unknown token at a selected position get the value 0."""
+def _windows(ids: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the windows of a mask without unknown tokens at selected positions."""
     n = len(ids) - len(mask) + 1
     if n <= 0:
-        return np.empty(0, np.uint64)
-    h = np.zeros(n, np.uint64)
-    unknown = np.zeros(n, bool)
-    for k, on in enumerate(mask):
-        if on == "1":
-            part = ids[k : k + n]
-            h += (part.astype(np.uint64) + np.uint64(0x9E37)) * _MULT[k]
-            unknown |= part == 0
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    on = [k for k, c in enumerate(mask) if c == "1"]
+    known = ids != 0
+    whole = known[:n].copy()
+    for k in on[1:]:
+        whole &= known[k : k + n]
+    at = np.flatnonzero(whole)
+    plain = ids.view(np.uint64)
+    h = np.zeros(len(at), np.uint64)
+    for k in on:
+        h += plain[at + k] * _MULT[k]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
-    h[unknown] = 0
-    return h
+    return at, h
 
 
 class Index:
@@ -71,10 +80,10 @@ class Index:
         self.starts = np.cumsum([0, *(len(ids) for _, ids in self.items)])
         self.flat = np.concatenate([ids for _, ids in self.items]) if items else np.empty(0, np.int64)
         self.tables = []
-        for mask in MASKS:
-            found = [(_hashes(ids, mask), start) for (_, ids), start in zip(self.items, self.starts, strict=False)]
-            h = np.concatenate([f for f, _ in found]) if found else np.empty(0, np.uint64)
-            at = np.concatenate([np.arange(len(f)) + start for f, start in found]) if found else np.empty(0, np.int64)
+        for mask in (*MASKS, *LIGHT_MASKS):
+            found = [(*_windows(ids, mask), start) for (_, ids), start in zip(self.items, self.starts, strict=False) if len(ids) <= LIGHT_MASKS.get(mask, len(ids))]
+            h = np.concatenate([f for _, f, _ in found]) if found else np.empty(0, np.uint64)
+            at = np.concatenate([f + start for f, _, start in found]) if found else np.empty(0, np.int64)
             order = np.argsort(h, kind="stable")
             # a first look at 16 bits of a hash spares most searches
             seen = np.zeros(1 << 16, bool)
@@ -85,12 +94,15 @@ class Index:
         """(item, document position of the item's first token), the position possibly negative."""
         out: set[tuple[int, int]] = set()
         for mask, table, at, seen in self.tables:
-            h = _hashes(ids, mask)
-            some = np.flatnonzero((h != 0) & seen[(h >> np.uint64(48)).astype(np.int64)]) if len(table) else []
+            if not len(table):
+                continue
+            some, h = _windows(ids, mask)
+            likely = seen[(h >> np.uint64(48)).astype(np.int64)]
+            some, h = some[likely], h[likely]
             if not len(some):
                 continue
-            lo = np.searchsorted(table, h[some], "left")
-            hi = np.searchsorted(table, h[some], "right")
+            lo = np.searchsorted(table, h, "left")
+            hi = np.searchsorted(table, h, "right")
             n = hi - lo
             keep = np.flatnonzero(n)
             if not len(keep):
@@ -107,25 +119,29 @@ class Index:
         own = self.items[item][1]
         lo, hi = max(0, shift), min(len(ids), shift + len(own))
         same = ids[lo:hi] == own[lo - shift : hi - shift]
-        # best stretch: agreeing tokens count 1, others -2 (the share is tested below), by the largest rise of the running sum
-        run = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-        low = np.minimum.accumulate(run)
-        end = int(np.argmax(run - low))
-        start = int(np.argmin(run[: end + 1]))
-        agree = int(same[start:end].sum())
-        need = MIN_TOKENS if len(own) >= MIN_TOKENS else len(own)
-        if agree < max(need, SHORTEST) or agree < MIN_SHARE * (end - start):
+        n = len(own)
+        need = n if n < SHORTEST else min(MIN_TOKENS, math.ceil(MIN_SHARE * n - 1e-9))
+        if np.count_nonzero(same) < need:
+            return None
+        # for each start the last end up to which the share holds, by sums of agreeing tokens less the share of all
+        agreed = np.concatenate([[0], np.cumsum(same)])
+        level = agreed - MIN_SHARE * np.arange(len(agreed))
+        rest = np.maximum.accumulate(level[::-1])
+        ends = len(same) - np.searchsorted(rest, level - 1e-9, "left")
+        start = int(np.argmax(agreed[ends] - agreed))
+        inside = np.flatnonzero(same[start : ends[start]])
+        if len(inside) < need:
             return None
-        return agree, lo + start, lo + end
+        return len(inside), lo + start + int(inside[0]), lo + start + int(inside[-1]) + 1
 
     def search(self, text: str | None) -> dict[int, tuple[int, int, int]]:
         """The best overlap with each item (by its id)."""
         found: dict[int, tuple[int, int, int]] = {}
         ws = tokens(text)
-        if len(ws) < SHORTEST or not self.words:
+        if len(ws) < EXACT or not self.words:
             return found
         get = self.words.get
-        ids = np.fromiter((get(w, 0) for w in ws), np.int64, len(ws))
+        ids = np.fromiter(map(get, ws, repeat(0)), np.int64, len(ws))
         for item, shift in self.hits(ids):
             if (o := self.overlap(ids, item, shift)) is not None:
                 key = self.items[item][0]
@@ -140,7 +156,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
     size = 0
     for row in benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").toLocalIterator():
         ws = tokens(row[1])
-        if len(ws) < SHORTEST:
+        if len(ws) < EXACT:
             continue
         if block and size + len(ws) > BLOCK_TOKENS:
             yield block

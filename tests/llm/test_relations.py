@@ -199,6 +199,41 @@ def test_overlaps_tolerate_substitutions(spark):
     assert decontam.overlaps(d.limit(0), b).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("pattern", "found"),
+    [
+        ("=" * 8 + "x" * 4 + "=" * 8, True),
+        (("=" * 12 + "x" * 6) * 3 + "=" * 12, True),
+        ("===x===x===x===", True),
+        ("==x====x====x==", True),
+        ("====x===", True),
+        ("==x==x==", True),
+        ("==x=x==", True),
+        ("=====", True),
+        ("====x", False),
+        ("x=x=" * 10, False),
+        ("=" * 12 + "x" * 28, False),
+    ],
+)
+def test_overlap_takes_any_stretch_within_the_limits(pattern, found):
+    item = [f"t{k}" for k in range(len(pattern))]
+    text = " ".join(["before", "it", *(w if c == "=" else "zz" for w, c in zip(item, pattern, strict=True)), "after"])
+    got = decontam.Index([(7, item), (8, ["other", "words", "only", "here"])]).search(text)
+    assert got == ({7: (pattern.count("="), 2, 2 + len(pattern.rstrip("x")))} if found else {})
+
+
+def test_overlap_matches_brute_force():
+    rng = random.Random(9)
+    for _ in range(400):
+        n = rng.randint(6, 32)
+        same = [rng.random() < 0.75 for _ in range(n)]
+        item = [f"t{k}" for k in range(n)]
+        got = decontam.Index([(1, item)]).search(" ".join(w if s else "zz" for w, s in zip(item, same, strict=True)))
+        best = max(sum(same[a:b]) for a in range(n) for b in range(a + 1, n + 1) if sum(same[a:b]) >= decontam.MIN_SHARE * (b - a) - 1e-9)
+        need = min(decontam.MIN_TOKENS, -(-7 * n // 10))
+        assert (got[1][0] if got else 0) == (best if best >= need else 0), same
+
+
 def test_overlap_blocks_give_the_same(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(tuple, decontam.overlaps(docs, bench).collect()))
