@@ -308,3 +308,17 @@ def test_license_scan(docs, odd, empty):
     assert want <= got
     assert licenses.scan(odd).count() == 0
     assert licenses.scan(empty).count() == 0
+
+
+def test_license_templates_are_whole():
+    index = licenses.Index(licenses.TEMPLATES)
+    ends = {"MIT": "DEALINGS IN THE SOFTWARE.", "BSD-2-Clause": "POSSIBILITY OF SUCH DAMAGE.", "BSD-3-Clause": "POSSIBILITY OF SUCH DAMAGE.", "ISC": "PERFORMANCE OF THIS SOFTWARE.", "Apache-2.0-header": "limitations under the License.", "GPL-header": "https://www.gnu.org/licenses/", "MPL-2.0-header": "http://mozilla.org/MPL/2.0/", "Unlicense": "https://unlicense.org/"}
+    for name, end in ends.items():
+        text = licenses.TEMPLATES[name]
+        assert text.endswith(end)
+        (found,) = (r for r in index.scan(f"Copyright 2020 A. B. {text} more") if r[0] == name)
+        assert found[3] == 1.0 and found[5] >= len("Copyright 2020 A. B. ") + len(text) - 2
+        ws = text.split()
+        half = index.scan(" ".join(ws[: len(ws) // 2]))
+        assert name not in {r[0] for r in half}
+    assert "MIT-excerpt" in {r[0] for r in index.scan(" ".join(licenses.TEMPLATES["MIT"].split()[:90]))}
