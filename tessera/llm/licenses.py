@@ -2,7 +2,7 @@
 
 Templates are cut into overlapping GRAM-word grams; winnowing keeps the least hash of every WINDOW neighbours. The kept
 hashes form an inverted index (hash to template and place). A document's grams are looked up in it, and templates with
-enough hits along near diagonals are candidates. Each candidate is aligned with the document's words around its hits, within a
+a hit or two along near diagonals are candidates. Each candidate is aligned with the document's words around its hits, within a
 band, so that inserted, dropped and replaced words (names, years, line noise) are tolerated; the alignment gives the matched share
 of the template and the span in the document.
 
@@ -14,7 +14,7 @@ The index holds the templates only, so it doesn't grow with the data. Documents
 
 Words are runs of letters and digits in lower case; offsets are code points of the source text, the end exclusive. Defined
 results: null and empty texts have no licenses; long texts are scanned whole; repeated rows are scanned one by one; of equally
-good alignments of a template the first is reported, and further ones only if they don't overlap; an empty table gives an empty
+good alignments of a template the first is reported, and of overlapping ones only the best; an empty table gives an empty
 result; further columns are ignored.
 """
 
@@ -109,10 +109,11 @@ class Index:
         out: dict[int, list[int]] = {}
         for t, shifts in hits.items():
             shifts.sort()
-            need = max(1, self.kept[t] // 3)
+            # replaced words cost up to three grams each, so a text within LEAST may keep few; the alignment decides
+            need = 1 if self.kept[t] <= SHORT else 2
             runs, begin = [], 0
             for k in range(1, len(shifts) + 1):
-                if k == len(shifts) or shifts[k] - shifts[k - 1] > BAND:
+                if k == len(shifts) or shifts[k] - shifts[begin] > BAND:
                     if k - begin >= need:
                         runs.append(shifts[(begin + k) // 2])
                     begin = k
@@ -153,16 +154,15 @@ class Index:
         ws, spans = words(text or "")
         out = []
         for t, shifts in self.candidates(ws).items():
-            last = -1
             n = len(self.words[t])
-            for shift in shifts:
-                found = self.align(ws, t, shift)
-                # notices are short: all but one of their words must match
-                least = max(LEAST * n, min(n - 1, 6) if n > 3 else n)
-                if found and found[0] >= least and found[1] >= last and found[2] - found[1] <= 2 * n + BAND:
-                    m, a, b = found
+            # notices are short: all but one of their words must match
+            least = max(LEAST * n, min(n - 1, 6) if n > 3 else n)
+            good = {f for shift in shifts if (f := self.align(ws, t, shift)) and f[0] >= least and f[2] - f[1] <= 2 * n + BAND}
+            taken: list[tuple[int, int]] = []
+            for m, a, b in sorted(good, key=lambda f: (-f[0], f[1], f[2])):
+                if all(b <= x or y <= a for x, y in taken):
+                    taken.append((a, b))
                     out.append((self.names[t], m, n, round(m / n, 6), spans[a][0], spans[b - 1][1]))
-                    last = b
         return sorted(out, key=lambda r: (r[0], r[4]))
 
 

@@ -322,3 +322,18 @@ def test_license_templates_are_whole():
         half = index.scan(" ".join(ws[: len(ws) // 2]))
         assert name not in {r[0] for r in half}
     assert "MIT-excerpt" in {r[0] for r in index.scan(" ".join(licenses.TEMPLATES["MIT"].split()[:90]))}
+
+
+def test_license_scan_reports_down_to_the_limit():
+    index = licenses.Index(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES.items():
+        ws = licenses.words(text)[0]
+        if len(ws) > 20:
+            for at in range(4):  # every fourth word replaced
+                changed = " ".join("zzz" if k % 4 == at else w for k, w in enumerate(ws))
+                assert name in {r[0] for r in index.scan(changed)}, (name, at)
+    notice = licenses.words(licenses.TEMPLATES["GPL-3.0-notice"])[0]
+    (found,) = (r for r in index.scan(" ".join("zzz" if k in (2, 5, 8) else w for k, w in enumerate(notice))) if r[0] == "GPL-3.0-notice")
+    assert found[1:3] == (9, 12)
+    twice = index.scan(f"{licenses.TEMPLATES['MIT']} between {licenses.TEMPLATES['MIT']}")
+    assert [r[3] for r in twice if r[0] == "MIT"] == [1.0, 1.0]
