@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -63,13 +65,18 @@ _SPELLED_STEP = rf"(?:(?P<dot>{_DOT}|[\x20]dot[\x20])|[\x20.,-]{{1,3}})"
 _SPELLED_ITEM = rf"(?:{_NUMBER}|[0-9]++|plus)"
 _SPELLED = re.compile(rf"(?<!\w){_SPELLED_ITEM}(?:{_SPELLED_STEP.replace('?P<dot>', '?:')}{_SPELLED_ITEM})+(?!\w)", re.I)
 _SPELLED_PART = re.compile(rf"(?P<step>{_SPELLED_STEP})?(?P<item>{_SPELLED_ITEM})", re.I)
-#: A disguised address: its local part, a bracketed at, a bare one or a spaced sign, and labels with dots of any kind.
-_DISGUISE = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9_%+-](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?+(?:(?:{_DOT}|[\x20]dot[\x20])[A-Za-z0-9._%+-]+)*)(?:(?P<at>{_AT})|(?P<bare>[\x20]at[\x20])|(?P<plain>[\x20]{{0,2}}@[\x20]{{0,2}}))(?P<rest>[A-Za-z0-9-]+(?:(?:{_WORD_DOT}|\.)[A-Za-z0-9-]+)+)", re.I
-)
+#: A disguised address, read from its sign to both sides: a bracketed at, a bare one or a spaced sign; labels with dots of any kind
+#: after it; the local part before it, which is read from the end of the text to its start. Each part is read once, as no part holds a sign.
+_SIGN = re.compile(rf"(?P<at>{_GAP}{_AT_CORE})|(?P<bare>[\x20]at(?=[\x20]))|(?P<plain>[\x20]{{0,2}}@)", re.I)
+_REST = {kind: re.compile(rf"{gap}(?P<rest>[A-Za-z0-9-]++(?:(?:{_WORD_DOT}|\.)[A-Za-z0-9-]++)++)", re.I) for kind, gap in (("at", _GAP), ("bare", r"[\x20]"), ("plain", r"[\x20]{0,2}"))}
+_RUN = r"[A-Za-z0-9._%+-]"
+_BACK_DOT = rf"(?:{_GAP}[\])}}>]{_GAP}(?:tod|\.|tknup|tniop|otnup){_GAP}[\[({{<]{_GAP}|[\x20]tod[\x20])"
+_LOCAL_BACK = re.compile(rf"{_RUN}++(?:{_BACK_DOT}{_RUN}++)*+", re.I)
 #: Four groups of four digits apart by dots, underscores or slashes.
 _GROUPED = re.compile(r"(?<![0-9._/])[0-9]{4}([._/])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])")
 _ANY_DOT = re.compile(_WORD_DOT, re.I)
+_FIRST_RUN = re.compile(rf"{_RUN}+")
+_DOTTED = re.compile(rf"(?:{_DOT}|[\x20]dot[\x20])", re.I)
 _DIGIT_DOT = re.compile(rf"(?<=[0-9]){_WORD_DOT}(?=[0-9])", re.I)
 #: What any match of a transducer's pattern holds, from the same alternatives: a text without it is left as it is.
 _HAS_AT = re.compile(rf"@|[\x20]at[\x20]|{_AT_CORE}", re.I)
@@ -139,11 +146,18 @@ class _Tape:
         self.starts, self.ends = [*starts, *self.starts[last:]], [*ends, *self.ends[last:]]
 
 
+def _rows(row: list[re.Match]) -> list[list[re.Match]]:
+    """A row, parted at its commas if they stand between a few of its items only: those part phrases, not digits."""
+    commas = [k for k, r in enumerate(row) if k and "," in r["step"]]
+    if not commas or 2 * len(commas) >= len(row) - 1:
+        return [row]
+    return [row[a:b] for a, b in zip([0, *commas], [*commas, len(row)], strict=True)]
+
+
 def _spelled(text: str) -> list[tuple[int, int, str]]:
     """Digits for number words: in rows of four words at least, or in rows with the three dots of an address."""
     edits = []
-    for m in _SPELLED.finditer(text):
-        row = list(_SPELLED_PART.finditer(text, m.start(), m.end()))
+    for row in (part for m in _SPELLED.finditer(text) for part in _rows(list(_SPELLED_PART.finditer(text, m.start(), m.end())))):
         words = sum(r["item"].lower() in _DIGITS for r in row)
         if not (words >= 4 or words and sum(r["dot"] is not None for r in row) >= 3):
             continue
@@ -169,21 +183,41 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
 
 
 def _disguised(text: str) -> list[tuple[int, int, str]]:
-    edits = []
-    for m in _DISGUISE.finditer(text):
-        rest = m["rest"]
-        if m["plain"] == "@" and (stop := _STOP.search(rest)) and "." in rest[: stop.start()] and not _ANY_DOT.search(rest[: stop.start()]):
+    edits: list[tuple[int, int, str]] = []
+    back, last, size = None, 0, len(text)
+    for m in _SIGN.finditer(text):
+        if m.start() <= last or (after := _REST[m.lastgroup].match(text, m.end())) is None:
+            continue
+        back = text[::-1] if back is None else back
+        before = _LOCAL_BACK.match(back, size - m.start(), size - last)
+        if before is None:
+            continue
+        # the part begins with a run that has no dots at its ends
+        begin = size - before.end()
+        runs = [begin, *(begin + d.end() for d in _DOTTED.finditer(text[begin : m.start()]))]
+        begin = next((k for k in runs if not (k and text[k - 1] in _LOCAL) and _is_whole(text, k, m.start())), None)
+        if begin is None:
+            continue
+        last = after.end()
+        local, rest, a = text[begin : m.start()], after["rest"], after.start("rest")
+        plain = m["plain"] == "@" and a == m.end()
+        if plain and (stop := _STOP.search(rest)) and "." in rest[: stop.start()] and not _ANY_DOT.search(rest[: stop.start()]):
             rest = rest[: stop.start()]
         # "at home.page" is prose, and a plain sign makes an address as it is
-        if (m["bare"] or m["plain"] == "@") and not (_ANY_DOT.search(rest) or _ANY_DOT.search(m["local"])):
+        if (m["bare"] or plain) and not (_ANY_DOT.search(rest) or _ANY_DOT.search(local)):
             continue
-        a = m.start("rest")
-        edits += [(m.start() + d.start(), m.start() + d.end(), ".") for d in _ANY_DOT.finditer(m["local"])]
-        edits.append((m.end("local"), a, "@"))
+        edits += [(begin + d.start(), begin + d.end(), ".") for d in _ANY_DOT.finditer(local)]
+        edits.append((m.start(), a, "@"))
         edits += [(a + d.start(), a + d.end(), ".") for d in _ANY_DOT.finditer(rest)]
     return edits
 
 
+def _is_whole(text: str, at: int, end: int) -> bool:
+    """Whether the run at a place neither begins nor ends with a dot."""
+    m = _FIRST_RUN.match(text, at, end)
+    return m is not None and m[0][0] != "." and m[0][-1] != "."
+
+
 def _parted(text: str) -> list[tuple[int, int, str]]:
     return [(*m.span(), ".") for m in _DIGIT_DOT.finditer(text)]
 
@@ -218,10 +252,13 @@ def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     every = {k: list(v) for k, v in base.items()}
     if (tape := normalise(text)) is not None:
         taken = sorted(s for v in base.values() for s in v)
+        starts = [s for s, _ in taken]
+        reach = list(accumulate((e for _, e in taken), max))  # the last end of a base span that begins at each or before
         for kind, spans in detect(tape.text).items():
             for a, b in spans:
                 start, end = tape.starts[a], tape.ends[b - 1]
-                if not any(s <= start and end <= e for s, e in taken):
+                k = bisect_right(starts, start)
+                if not k or reach[k - 1] < end:
                     every[kind].append((start, end))
             every[kind].sort()
     return base, every
