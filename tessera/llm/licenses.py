@@ -1,27 +1,32 @@
 """License scans by winnowed fingerprints and banded alignment.
 
-Templates are cut into overlapping GRAM-word grams; winnowing keeps the least hash of every WINDOW neighbours. The kept
-hashes form an inverted index (hash to template and place). A document's grams are looked up in it, and templates with
-a hit or two along near diagonals are candidates. Each candidate is aligned with the document's words around its hits, within a
-band, so that inserted, dropped and replaced words (names, years, line noise) are tolerated; the alignment gives the matched share
-of the template and the span in the document.
+Templates are cut into overlapping GRAM-word grams; winnowing keeps the least hash of every few neighbours (one or two in short
+templates, WINDOW in long ones). The kept hashes form an inverted index (hash to template and place). A document's grams are looked up
+in it, and templates with enough hits along near diagonals are candidates. Each candidate is aligned with the document's words around
+its hits, within a band, so that inserted, dropped and replaced words (names, years, line noise) are tolerated; the alignment gives
+the matched share of the template and the span in the document.
 
-MIT, BSD, ISC and Unlicense are whole texts, without the copyright line; headers are the whole notices for source files. Entries
-named -excerpt hold the first part of such a text, so that a truncated one is found, too; their coverage and span are of the
-excerpt alone. The long texts of Apache, GPL, LGPL and MPL are no templates: only their headers and notices are found.
+Templates are whole public texts: those of license_texts/ (Apache, GPL, LGPL, MPL, CC0), MIT, BSD, ISC and Unlicense without the
+copyright line, and the notices for source files (-header) and single lines (-notice). Entries named -excerpt hold the first part of
+a text, so that a truncated one is found, too; their coverage and span are of the excerpt alone. A text that holds another (Apache-2.0
+ends with its header) is reported with it. "all-rights-reserved" is a notice that grants nothing; it is reported as such.
 
 The index holds the templates only, so it doesn't grow with the data. Documents are scanned where they lie: no shuffle.
 
 Words are runs of letters and digits in lower case; offsets are code points of the source text, the end exclusive. Defined
 results: null and empty texts have no licenses; long texts are scanned whole; repeated rows are scanned one by one; of equally
 good alignments of a template the first is reported, and of overlapping ones only the best; an empty table gives an empty
-result; further columns are ignored.
+result; further columns are ignored; a text that has no three words in a row of a template, or too few of its kept grams, is not
+found.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
@@ -29,9 +34,13 @@ from pyspark.sql import DataFrame
 
 from tessera.llm.common import arrow_map
 
-GRAM, WINDOW, BAND = 3, 3, 12
-#: Templates of so many grams keep all of them.
+GRAM, WINDOW = 3, 3
+#: Words that a document may run ahead of a template or behind it: so many at least, and one in BAND_SHARE of the template's.
+BAND, BAND_SHARE = 12, 40
+#: Grams for which the winnowing window grows by one.
 SHORT = 16
+#: Of the kept grams of a long template one in LEAST_HITS has to be found; a gram that comes more often in a template is not kept.
+LEAST_HITS, MOST_PLACES = 20, 3
 #: The least matched share of a template that is reported.
 LEAST = 0.7
 _WORD = regex.compile(r"[\p{L}\p{N}]+(?:\.[0-9]+)*")
@@ -63,6 +72,12 @@ TEMPLATES: dict[str, str] = {
 }
 
 
+def whole_texts() -> dict[str, str]:
+    """All templates: those above and the files of license_texts/, which the driver reads."""
+    folder = Path(__file__).resolve().parent / "license_texts"
+    return TEMPLATES | {f.stem: f.read_text(encoding="utf-8") for f in sorted(folder.glob("*.txt"))}
+
+
 def words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
     found = list(_WORD.finditer(text.lower() if len(text.lower()) == len(text) else text))
     return [m[0].lower() for m in found], [m.span() for m in found]
@@ -75,10 +90,12 @@ def grams(ws: list[str]) -> list[int]:
 
 
 def winnow(hashes: list[int]) -> set[int]:
-    """Places of the hashes that winnowing keeps: the last least one of each window."""
-    if len(hashes) <= WINDOW:
-        return {min(range(len(hashes)), key=lambda k: hashes[k])} if hashes else set()
-    return {min(range(k, k + WINDOW), key=lambda j: (hashes[j], -j)) for k in range(len(hashes) - WINDOW + 1)}
+    """Places of the hashes that winnowing keeps: the last least one of each window. Short templates have short windows: a changed
+    word costs them three grams, which may be all that a longer window keeps."""
+    window = min(WINDOW, 1 + (len(hashes) - 1) // SHORT)
+    if len(hashes) <= window:
+        return set(range(len(hashes)))
+    return {min(range(k, k + window), key=lambda j: (hashes[j], -j)) for k in range(len(hashes) - window + 1)}
 
 
 class Index:
@@ -86,17 +103,24 @@ class Index:
 
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
+        numbers: dict[str, int] = {}
         self.words = [words(t)[0] for t in templates.values()]
-        self.kept: list[int] = []
+        self.numbers = numbers
+        self.coded = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in ws], np.int64) for ws in self.words]
+        self.need: list[int] = []
+        self.band = [max(BAND, len(ws) // BAND_SHARE) for ws in self.words]
         self.post: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        # a document's gram is hashed only if its first two words begin a kept gram
+        self.heads: set[tuple[str, str]] = set()
         for t, ws in enumerate(self.words):
             hashes = grams(ws)
-            places = winnow(hashes) if len(hashes) > SHORT else range(len(hashes))  # a changed word may cost a notice its few kept grams
-            self.kept.append(len(places))
+            often = Counter(hashes)
+            places = [k for k in sorted(winnow(hashes)) if often[hashes[k]] <= MOST_PLACES]
+            # replaced words cost up to three grams each, so a text within LEAST may keep few; the alignment decides
+            self.need.append(1 if len(hashes) <= SHORT else max(2, len(places) // LEAST_HITS))
             for k in places:
                 self.post[hashes[k]].append((t, k))
-        # a document's gram is hashed only if its first two words begin a gram of the index
-        self.heads = {(ws[k], ws[k + 1]) for ws in self.words for k in range(len(ws) - GRAM + 1)}
+                self.heads.add((ws[k], ws[k + 1]))
 
     def candidates(self, ws: list[str]) -> dict[int, list[int]]:
         """Template to the sorted document places where it may begin, one for each run of near diagonals with enough hits."""
@@ -109,69 +133,103 @@ class Index:
         out: dict[int, list[int]] = {}
         for t, shifts in hits.items():
             shifts.sort()
-            # replaced words cost up to three grams each, so a text within LEAST may keep few; the alignment decides
-            need = 1 if self.kept[t] <= SHORT else 2
             runs, begin = [], 0
             for k in range(1, len(shifts) + 1):
-                if k == len(shifts) or shifts[k] - shifts[begin] > BAND:
-                    if k - begin >= need:
+                if k == len(shifts) or shifts[k] - shifts[begin] > self.band[t]:
+                    if k - begin >= self.need[t]:
                         runs.append(shifts[(begin + k) // 2])
                     begin = k
             if runs:
                 out[t] = runs
         return out
 
-    def align(self, ws: list[str], t: int, shift: int) -> tuple[int, int, int] | None:
-        """(matched words, first and end place in the document) of the banded alignment: most matches, then fewest skips."""
-        own = self.words[t]
-        n = len(own)
-        width = 2 * BAND + 1
-        # cell: (matches, -skips, first place, end place) of the best alignment that has read so far
-        none = (0, 0, -1, -1)
-        above = [none] * width
+    def holds(self, coded: np.ndarray, t: int, shift: int) -> int:
+        """How many of a template's words come at all where an alignment may reach: it matches no more."""
+        band = self.band[t]
+        return int(np.count_nonzero(np.isin(self.coded[t], coded[max(0, shift - band) : max(0, shift + len(self.coded[t]) + band)])))
+
+    def align(self, coded: np.ndarray, t: int, shift: int) -> tuple[int, int, int] | None:
+        """(matched words, first and end place in the document) of the banded alignment: most matches, then fewest skips.
+        ``coded`` are the document's words as numbers, 0 for those of no template."""
+        own, band = self.coded[t], self.band[t]
+        n, width = len(own), 2 * band + 1
+        # the document from the first place that the band reaches, with places of no word around it
+        low = shift - band
+        part = np.zeros(n + width, np.int64) - 1
+        a, b = max(0, low), min(len(coded), low + n + width)
+        if a < b:
+            part[a - low : b - low] = coded[a:b]
+        # a cell's value: matches first, then fewer skips; moves: 1 match, 2 both skipped, 3 a template's word skipped, 4 a document's
+        one, steps = np.int64(1 << 32), np.arange(width, dtype=np.int64)
+        above = np.zeros(width + 1, np.int64)
+        moves = np.empty((n, width), np.int8)
+        bottom = np.int64(-(1 << 62))
         for i in range(n):
-            row: list[tuple[int, int, int, int]] = []
-            for d in range(width):
-                j = shift + i + d - BAND
-                best = above[d + 1] if d + 1 < width else none
-                best = (best[0], best[1] - 1, best[2], best[3])
-                if d and (left := row[d - 1]) and (left[0], left[1] - 1) > best[:2]:
-                    best = (left[0], left[1] - 1, left[2], left[3])
-                if 0 <= j < len(ws):
-                    m, s, a, _ = above[d]
-                    if ws[j] == own[i]:
-                        if (m + 1, s) > best[:2]:
-                            best = (m + 1, s, a if a >= 0 else j, j + 1)
-                    elif (m, s - 1) > best[:2]:
-                        best = (m, s - 1, a, above[d][3])
-                row.append(best)
-            above = row
-        m, _, a, b = max(above, key=lambda c: c[:2])
-        return (m, a, b) if m else None
+            here = part[i : i + width]
+            same, some = here == own[i], here >= 0
+            diagonal = np.where(same, above[:-1] + one, np.where(some, above[:-1] - 1, bottom))
+            down = above[1:] - 1
+            down[-1] = -1  # from beyond the band nothing has matched
+            row = np.maximum(diagonal, down)
+            move = np.where(diagonal > down, np.where(same, 1, 2), 3).astype(np.int8)
+            across = np.maximum.accumulate(row + steps) - steps
+            move[across > row] = 4
+            moves[i] = move
+            above[:-1] = across
+        d = int(np.argmax(above[:-1]))
+        matched, first, end = 0, -1, -1
+        i = n - 1
+        while i >= 0:
+            move = moves[i, d]
+            if move == 4:
+                d -= 1
+                continue
+            if move == 3:
+                d += 1
+                if d == width:
+                    break
+            elif move == 1:
+                matched += 1
+                first = low + i + d
+                end = first + 1 if end < 0 else end
+            i -= 1
+        return (matched, first, end) if matched else None
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, float, int, int]]:
         """(license, matched words, template words, coverage, start, end) of all matches, in order of license and place."""
         ws, spans = words(text or "")
+        found = self.candidates(ws)
+        if not found:
+            return []
+        coded = np.fromiter((self.numbers.get(w, 0) for w in ws), np.int64, len(ws))
         out = []
-        for t, shifts in self.candidates(ws).items():
+        for t, shifts in found.items():
             n = len(self.words[t])
             # notices are short: all but one of their words must match
             least = max(LEAST * n, min(n - 1, 6) if n > 3 else n)
-            good = {f for shift in shifts if (f := self.align(ws, t, shift)) and f[0] >= least and f[2] - f[1] <= 2 * n + BAND}
-            taken: list[tuple[int, int]] = []
-            for m, a, b in sorted(good, key=lambda f: (-f[0], f[1], f[2])):
-                if all(b <= x or y <= a for x, y in taken):
-                    taken.append((a, b))
-                    out.append((self.names[t], m, n, round(m / n, 6), spans[a][0], spans[b - 1][1]))
+            good = {f for shift in shifts if self.holds(coded, t, shift) >= least and (f := self.align(coded, t, shift)) and f[0] >= least and f[2] - f[1] <= 2 * n + self.band[t]}
+            out += [(self.names[t], m, n, round(m / n, 6), spans[a][0], spans[b - 1][1]) for m, a, b in _best(good)]
         return sorted(out, key=lambda r: (r[0], r[4]))
 
 
+def _best(found: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of overlapping alignments the best: most words, then the first. Taken spans are kept in order, so each is looked up in them."""
+    taken: list[tuple[int, int]] = []
+    out = []
+    for m, a, b in sorted(found, key=lambda f: (-f[0], f[1], f[2])):
+        k = bisect_left(taken, (a, b))
+        if (k == 0 or taken[k - 1][1] <= a) and (k == len(taken) or b <= taken[k][0]):
+            taken.insert(k, (a, b))
+            out.append((m, a, b))
+    return out
+
+
 _SCHEMA = "doc_id long, license string, n_matched long, n_template long, coverage double, char_start long, char_end long"
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """A row for each license text found in each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(Index(templates or TEMPLATES))
+    shared = docs.sparkSession.sparkContext.broadcast(Index(templates or whole_texts()))
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch | None:
         rows = [(k, *r) for k, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True) for r in shared.value.scan(text)]
