@@ -9,7 +9,7 @@ holds what all languages share.
 Training adds vectors up in each partition and then in Spark; the driver gets DIMENSIONS numbers for each language. Languages are
 a set of labels, MAX_LANGUAGES at most (more are an error).
 
-Defined results: a null text, or one without letters, is ``und`` with score 0; ties go to the language that sorts first;
+Defined results: a null text, or one without letters (marks alone are none), is ``und`` with score 0; ties go to the language that sorts first;
 rows with a null language or text teach nothing; without training rows everything is ``und``; repeated rows count each time; an
 empty table gives an empty result; further columns are ignored; long texts are read whole.
 """
@@ -24,12 +24,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches
+from tessera.llm.common import bound_batches, cut
 
 DIMENSIONS, MAX_LANGUAGES = 1024, 1000
 #: n-gram vectors that a worker keeps, and texts whose vectors are made at once.
 KEPT, AT_ONCE = 1 << 15, 256
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 class Space:
@@ -83,7 +84,7 @@ class Space:
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct letter trigrams of a text, word ends as blanks, and how often each occurs."""
     words = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
-    if not words:
+    if not _LETTER.search(words):  # marks alone are no letters
         return np.empty(0, np.int64), np.empty(0, np.int64)
     c = np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     return np.unique(c[:-2] << 42 | c[1:-1] << 21 | c[2:], return_counts=True)
@@ -112,7 +113,8 @@ def train(rows: DataFrame) -> tuple[list[str], np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([np.rint(v * 2**20).astype(np.int64) for v in sums.values()], pa.list_(pa.int64()))], ["lang", "v"])
 
     parts = rows.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang").mapInArrow(run, "lang string, v array<long>")
-    sums = parts.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x"))
+    # written once: the texts are read once, however often the sums are
+    sums = cut(parts.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x")), "language_sums")
     found = sums.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).toArrow()["lang"].to_pylist()
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
