@@ -17,8 +17,6 @@ further columns are ignored.
 
 from __future__ import annotations
 
-import contextlib
-import glob
 import hashlib
 import heapq
 import json
@@ -32,15 +30,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import bound_batches
 
-#: Words in the lexicon, and distinct words that a worker counts before it hands its counts on.
+#: Words in the lexicon, and distinct chunks that a worker counts before it hands its counts on.
 LEXICON_WORDS, COUNTED_WORDS = 1 << 16, 1 << 19
 #: Chunks whose ids a worker keeps at hand; they are dropped all at once between two steps.
 KEPT_CHUNKS = 3 << 17
+#: Bytes of the longest word that is counted and of the longest chunk that is kept: what a worker holds is bounded in bytes, too.
+LONGEST = 64
 #: Characters of the texts that are split at once: chunks take many times the memory of their text.
 AT_ONCE = 1 << 20
 
@@ -59,12 +60,39 @@ def _byte_letters() -> list[str]:
     return out
 
 
+def pieces(text: str) -> Iterator[str]:
+    """A text in pieces of about AT_ONCE characters, cut behind ASCII blanks, which neither words nor normal forms cross."""
+    begin = 0
+    while len(text) - begin > AT_ONCE:
+        cut = text.rfind(" ", begin, begin + AT_ONCE) + 1 or text.find(" ", begin + AT_ONCE) + 1
+        if not cut:
+            break
+        yield text[begin:cut]
+        begin = cut
+    yield text[begin:]
+
+
+#: The letters and numbers that Unicode 16 added, which the library's split engine knows and Python's character table may
+#: not; capitals of Unicode 16 and 17, which its lower case knows: (first, last, distance to the small letter).
+_ADDED = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E),
+    (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0), (0x11BF0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16130, 0x16139),
+    (0x16D40, 0x16D6C), (0x16D70, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5FA),
+)
+_CAPITALS = (
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x0264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x019B - 0xA7DC), (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
+)
+_SMALL = {c: c + d for a, b, d in _CAPITALS for c in range(a, b + 1)}
+_CAPITAL = regex.compile("[" + "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b, _ in _CAPITALS) + "]")
+
+
 def _pattern(source: str) -> regex.Pattern:
-    """The split pattern with the classes that the library's engine has: white space is the Unicode property, and what
-    Python's character table doesn't assign is neither letter nor number."""
+    """The split pattern with the classes that the library's engine has: white space is the Unicode property, and what neither
+    Python's character table nor Unicode 16 assigns is neither letter nor number."""
     newer = regex.compile(r"[\p{L}\p{N}]")
-    later = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Cn" and newer.match(chr(c))]
-    spans = []
+    added = {c for a, b in _ADDED for c in range(a, b + 1)}
+    later = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Cn" and c not in added and newer.match(chr(c))]
+    spans: list[list[int]] = []
     for c in later:
         if spans and spans[-1][1] == c - 1:
             spans[-1][1] = c
@@ -109,6 +137,8 @@ class Vocabulary:
             section = unicodedata.normalize("NFC", section)
             if "Σ" in section:
                 section = section.replace("Σ", "σ")
+            if _CAPITAL.search(section):
+                section = section.translate(_SMALL)
         return section.lower().encode("utf-8", "surrogatepass")
 
     def words(self, chunk: bytes) -> list[bytes]:
@@ -170,9 +200,9 @@ class Vocabulary:
 def compile_lexicon(entries: list[tuple[bytes, list[int]]]) -> bytes:
     """A minimal acyclic automaton of words, built from sorted input by merging equal states as soon as they are complete.
 
-    Layout: five int32 sizes, then int32 arrays: the first edge of each state (and the end), the final flag of each state,
-    the words below each edge's earlier siblings (and the state's own word), the target of each edge, the start of each
-    word's ids, the ids; then the label bytes of the edges."""
+    Layout: six int32 (root, states, edges, words, ids, none), the key of each edge as int64 (its state, then its label byte; in order),
+    then int32 arrays: the final flag of each state, the words below each edge's earlier siblings (and the state's own word),
+    the target of each edge, the start of each word's ids, the ids."""
     entries = sorted(entries)
     register: dict[tuple, int] = {}
     states: list[tuple[bool, tuple[tuple[int, int], ...]]] = []
@@ -204,36 +234,34 @@ def compile_lexicon(entries: list[tuple[bytes, list[int]]]) -> bytes:
     below = []
     for final, edges in states:  # targets come before their sources
         below.append(final + sum(below[t] for _, t in edges))
-    first, skip, target, label = [0], [], [], bytearray()
-    for final, edges in states:
+    keys, skip, target = [], [], []
+    for state, (final, edges) in enumerate(states):
         n = int(final)
         for b, t in edges:
+            keys.append(state << 8 | b)
             skip.append(n)
             target.append(t)
-            label.append(b)
             n += below[t]
-        first.append(len(target))
     starts = np.cumsum([0, *(len(ids) for _, ids in entries)])
     flat = [k for _, ids in entries for k in ids]
-    arrays = [np.array(a, "<i4") for a in ([root, len(states), len(target), len(entries), len(flat)], first, [f for f, _ in states], skip, target, starts, flat)]
-    return b"".join(a.tobytes() for a in arrays) + bytes(label)
+    head = np.array([root, len(states), len(target), len(entries), len(flat), 0], "<i4").tobytes()
+    arrays = [np.array(a, "<i4") for a in ([f for f, _ in states], skip, target, starts, flat)]
+    return head + np.array(keys, "<i8").tobytes() + b"".join(a.tobytes() for a in arrays)
 
 
 class Lexicon:
-    """A compiled lexicon, mapped into memory."""
+    """A compiled lexicon, mapped into memory: all of its arrays are views of the file."""
 
     def __init__(self, path: str):
         raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
-        self.root, n, edges, words, flat = (int(x) for x in raw[:20].view("<i4"))
-        at = 20
+        self.root, n, edges, words, flat, _ = (int(x) for x in raw[:24].view("<i4"))
+        at = 24 + 8 * edges
+        self.keys = raw[24:at].view("<i8")
         parts = []
-        for size in (n + 1, n, edges, edges, words + 1, flat):
+        for size in (n, edges, edges, words + 1, flat):
             parts.append(raw[at : at + 4 * size].view("<i4"))
             at += 4 * size
-        self.first, self.final, self.skip, self.target, self.starts, self.ids = parts
-        self.label = raw[at : at + edges]
-        # edges are in order of state and label: one sorted key finds an edge
-        self.keys = np.repeat(np.arange(n, dtype=np.int64), np.diff(self.first)) << 8 | self.label
+        self.final, self.skip, self.target, self.starts, self.ids = parts
 
     def find(self, words: list[bytes]) -> list[bytes | None]:
         """The ids (little-endian unsigned 32-bit) of each word, or None. All words walk the automaton together, a byte a step."""
@@ -243,7 +271,7 @@ class Lexicon:
         lengths = np.array([len(w) for w in words], np.int64)
         flat = np.frombuffer(b"".join(words), np.uint8)
         begins = np.cumsum(lengths) - lengths
-        live = np.flatnonzero(lengths <= 64)
+        live = np.flatnonzero(lengths <= LONGEST)
         state = np.full(len(live), self.root, np.int64)
         place = np.zeros(len(live), np.int64)
         step = 0
@@ -286,6 +314,11 @@ class Codec:
         step: list[str] = []
         size = 0
         for text in texts:
+            if text and len(text) > AT_ONCE:
+                yield from self._step(step)
+                step, size = [], 0
+                yield b"".join(self._step([part])[0] for part in pieces(text))
+                continue
             step.append(text or "")
             size += len(step[-1])
             if size >= AT_ONCE:
@@ -311,10 +344,13 @@ class Codec:
             split.append(sections)
         self._learn(new.difference(kept))
         get = kept.__getitem__
-        return [b"".join([np.array([s], "<u4").tobytes() if isinstance(s, int) else b"".join(map(get, s)) for s in sections]) for sections in split]
+        out = [b"".join([np.array([s], "<u4").tobytes() if isinstance(s, int) else b"".join(map(get, s)) for s in sections]) for sections in split]
+        for c in [c for c in new if len(c) > LONGEST]:
+            del kept[c]
+        return out
 
     def encode(self, text: str) -> bytes:
-        return self._step([text])[0]
+        return next(self.encode_batch([text]))
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the tokens' letters, joined by spaces."""
@@ -322,31 +358,44 @@ class Codec:
 
 
 def count_words(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, n) over whole texts. Each worker adds up its own rows first, so the shuffle carries distinct words."""
+    """(word, n) of the words of up to LONGEST bytes, over whole texts. Each worker adds up its own rows first, so the shuffle carries
+    distinct words."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         counts: Counter[bytes] = Counter()
+        words: Counter[bytes] = Counter()
+
+        def add(chunk: bytes, n: int) -> None:
+            for w in v.words(chunk):
+                if len(w) <= LONGEST:
+                    words[w] += n
 
         def flush() -> pa.RecordBatch:
-            words: Counter[bytes] = Counter()
             for chunk, n in counts.items():
-                for w in v.words(chunk):
-                    words[w] += n
+                add(chunk, n)
+            out = pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
             counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
+            words.clear()
+            return out
 
         for b in batches:
             for t in b.column("text").to_pylist():
-                if t:
-                    for s in v.parts.split(t) if v.parts and "<|" in t else [t]:
-                        if s not in v.special:
-                            counts.update(v.clean(s).split())
-            if len(counts) >= COUNTED_WORDS:
-                yield flush()
-        if counts:
+                for part in pieces(t or ""):
+                    for s in v.parts.split(part) if v.parts and "<|" in part else [part]:
+                        if s in v.special or not (chunks := v.clean(s).split()):
+                            continue
+                        if max(map(len, chunks)) > LONGEST:  # such a chunk is not kept
+                            for c in chunks:
+                                if len(c) > LONGEST:
+                                    add(c, 1)
+                            chunks = [c for c in chunks if len(c) <= LONGEST]
+                        counts.update(chunks)
+                if len(counts) + len(words) >= COUNTED_WORDS:
+                    yield flush()
+        if counts or words:
             yield flush()
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -354,26 +403,21 @@ def count_words(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, size: int = LEXICON_WORDS) -> bytes:
     """The ``size`` most frequent words of the corpus (ties by word), compiled. The driver gets these words only."""
-    top = count_words(docs, vocabulary).where(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(size)
+    top = count_words(docs, vocabulary).orderBy(F.desc("n"), "word").limit(size)
     return compile_lexicon([(bytes(w), vocabulary.merge(bytes(w))) for w in top.toArrow()["word"].to_pylist()])
 
 
 def mapped(data: bytes) -> Lexicon:
-    """The lexicon in this worker: the first worker of an executor writes the file, all of them map it. A new lexicon takes the
-    place of an older one; who has that mapped keeps it."""
-    folder = tempfile.gettempdir()
+    """The lexicon in this worker: the first worker of an executor writes the file, all of them map it. It lies in the executor's folder
+    of the application, which Spark removes at its end, and is written anew by an executor that takes another's place."""
+    folder = SparkFiles.getRootDirectory()
     path = os.path.join(folder, f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin")
-    while True:
-        if not os.path.exists(path):
-            for old in glob.glob(os.path.join(folder, "lexicon-*.bin")):
-                with contextlib.suppress(FileNotFoundError):
-                    os.unlink(old)
-            fd, own = tempfile.mkstemp(dir=folder)
-            with os.fdopen(fd, "wb") as f:
-                f.write(data)
-            os.replace(own, path)
-        with contextlib.suppress(FileNotFoundError):  # another job's worker may have removed it meanwhile
-            return Lexicon(path)
+    if not os.path.exists(path):
+        fd, own = tempfile.mkstemp(dir=folder)
+        with os.fdopen(fd, "wb") as f:
+            f.write(data)
+        os.replace(own, path)
+    return Lexicon(path)
 
 
 def codec_maker(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WORDS):

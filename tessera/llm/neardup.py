@@ -55,11 +55,11 @@ _PLACES = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
 class _Words(dict):
-    """64-bit hashes of words, kept while there is room."""
+    """64-bit hashes of words, kept while there is room and if they are short."""
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 1 << 17:
+        if len(self) < 1 << 17 and len(word) <= 64:
             self[word] = h
         return h
 
