@@ -1,8 +1,11 @@
 """Chat formatting: layouts are told apart by a fingerprint of their nested field paths.
 
-A fingerprint is the SHA-256 of the sorted nested field paths of a layout, types and unknown fields left out. MAPPINGS
-declares, for each known layout, how its fields become canonical turns (role, text). Tables are told apart by their
-schema, JSON records one by one by ``schema_of_variant``, so one column may mix prompt, instruction and message layouts.
+A fingerprint is the SHA-256 of the sorted nested field paths of a layout, types left out. MAPPINGS declares, for each known
+layout, how its fields become canonical turns (role, text). JSON records are told apart one by one, so one column may mix
+prompt, instruction and message layouts: a record's own paths, down to the members of its messages, are read from the
+variant, and the known ones among them give its fingerprint. Further fields (ids, sources, names) don't hide a layout: where the
+known paths are no layout's as a whole, the largest layout that the record holds counts. Tables are told apart in the same
+way by their schema. What has no layout is reported by unknown_layouts().
 
 The template marks turns and escapes its control strings inside texts; parse() reads a formatted conversation back
 exactly. All of it is built-in Spark functions.
@@ -13,7 +16,9 @@ is one value of the result.
 
 Defined results: null roles and texts are empty; turns are ordered by turn, then role, then text, null turns first; repeated
 rows are repeated turns; a null conv_id is a conversation of its own; an empty table has no conversations; unknown
-columns are ignored; long texts stay whole; a record of an unknown layout, or that is no JSON, has null turns.
+columns are ignored; long texts stay whole; a record of an unknown layout, or that is no JSON object, has null turns; a list of
+messages without elements is an unknown layout; messages whose content is a list of parts say the parts' texts, joined by newlines; of
+equally large layouts in a record the first by name counts.
 """
 
 from __future__ import annotations
@@ -50,8 +55,14 @@ def _get(path: str) -> str:
     return f"try_variant_get(r, '$.{path}', 'string')"
 
 
+def _said(m: str, member: str) -> str:
+    """The text of a message's member: a string, or the texts of a list of parts."""
+    whole = f"try_variant_get({m}, '$.{member}', 'array<variant>')"
+    return f"if({whole} IS NULL, try_variant_get({m}, '$.{member}', 'string'), array_join(transform({whole}, p -> coalesce(try_variant_get(p, '$.text', 'string'), '')), '\\n'))"
+
+
 def _messages(array: str, role: str, text: str) -> str:
-    return f"transform(try_variant_get(r, '$.{array}', 'array<variant>'), m -> named_struct('role', lower(try_variant_get(m, '$.{role}', 'string')), 'text', try_variant_get(m, '$.{text}', 'string')))"
+    return f"transform(try_variant_get(r, '$.{array}', 'array<variant>'), m -> named_struct('role', lower(try_variant_get(m, '$.{role}', 'string')), 'text', {_said('m', text)}))"
 
 
 def _pair(user: str, assistant: str, system: str | None = None) -> str:
@@ -61,10 +72,12 @@ def _pair(user: str, assistant: str, system: str | None = None) -> str:
     return f"concat(if({system} IS NULL, CAST(array() AS array<struct<role:string,text:string>>), array(named_struct('role', 'system', 'text', {system}))), {pair})"
 
 
-#: Declarative mappings. A table of turn rows has its turns gathered by key; the others hold a conversation in a record.
+#: Declarative mappings. A table of turn rows has its turns gathered by key, one of JSON rows has a record for each key; the others hold
+#: a conversation in a record.
 MAPPINGS: tuple[Mapping, ...] = (
     Mapping("turn_rows", ("conv_id", "role", "text", "turn")),
     Mapping("message_rows", ("conv_id", "messages", "messages[].content", "messages[].role")),
+    Mapping("json_rows", ("conv_id", "record")),
     Mapping("messages", ("messages", "messages[].content", "messages[].role"), _messages("messages", "role", "content")),
     Mapping("conversations", ("conversations", "conversations[].from", "conversations[].value"), f"transform({_messages('conversations', 'from', 'value')}, t -> named_struct('role', CASE t.role WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' ELSE t.role END, 'text', t.text))"),
     Mapping("instruction", ("input", "instruction", "output"), _pair(f"if(coalesce({_get('input')}, '') = '', {_get('instruction')}, concat({_get('instruction')}, '\\n\\n', {_get('input')}))", _get("output"))),
@@ -106,35 +119,45 @@ def layout(schema: T.StructType) -> Mapping | None:
     return max(held, key=lambda m: len(m.paths), default=None)
 
 
-def record_turns(records: DataFrame, column: str) -> DataFrame:
-    """Add ``fingerprint`` and ``turns`` (array<struct<role, text>>) for a column of JSON records of mixed layouts.
-    schema_of_variant gives the paths of each record; its text, types replaced, is looked up among the known layouts."""
-    shape = "schema_of_variant(r)"
-    for kind in ("STRING", "BIGINT", "DOUBLE", "BOOLEAN", "VOID", r"DECIMAL\([0-9]+,[0-9]+\)"):
-        shape = f"regexp_replace({shape}, ': {kind}(?=[,>])', ': V')"
-    with_shape = records.withColumn("r", F.expr(f"try_parse_json(`{column}`)")).withColumn("__shape", F.expr(shape))
-    turns = F.lit(None).cast("array<struct<role:string,text:string>>")
-    fingerprint = F.lit(None).cast("string")
-    for m in MAPPINGS:
-        if m.turns:
-            known = F.col("__shape") == _shape(m)
-            turns = F.when(known, F.expr(m.turns)).otherwise(turns)
-            fingerprint = F.when(known, F.lit(_digest(m.paths))).otherwise(fingerprint)
-    return with_shape.withColumn("fingerprint", fingerprint).withColumn("turns", turns).drop("r", "__shape")
+def record_paths(r: Column) -> Column:
+    """The nested field paths of a record (a variant object): its members, and a[].b for the members of the elements of those arrays
+    that a mapping knows. Null if it is no object."""
+    top, none = F.map_keys(F.try_variant_get(r, "$", "map<string,variant>")), F.array().cast("array<string>")
+
+    def below(name: str) -> Column:
+        members = F.transform(F.try_variant_get(r, f"$.{name}", "array<variant>"), lambda m: F.coalesce(F.map_keys(F.try_variant_get(m, "$", "map<string,variant>")), none))
+        return F.transform(F.coalesce(F.array_distinct(F.flatten(members)), none), lambda k: F.concat(F.lit(f"{name}[]."), k))
 
+    out = [top, *map(below, sorted({p.split("[]")[0] for p in _KNOWN if "[]" in p}))]
+    return F.when(top.isNotNull(), F.array_sort(F.array_distinct(F.concat(*out))))
 
-def _shape(m: Mapping) -> str:
-    """What schema_of_variant says of a layout whose leaves are all scalars: members come in order of their names."""
-    tree: dict = {}
-    for p in m.paths:
-        node = tree
-        for part in p.split("."):
-            node = node.setdefault(part.removesuffix("[]"), {})
 
-    def text(node: dict) -> str:
-        return "OBJECT<" + ", ".join(f"{k}: {'ARRAY<' + text(v) + '>' if v else 'V'}" for k, v in sorted(node.items())) + ">"
+def record_turns(records: DataFrame, column: str) -> DataFrame:
+    """Add ``fingerprint`` and ``turns`` (array<struct<role, text>>) for a column of JSON records of mixed layouts. The fingerprint is the
+    mapping's for a known layout, and that of all the record's paths for an unknown one."""
+    out = [c for c in records.columns if c not in ("fingerprint", "turns")]
+    paths = records.withColumn("__r", F.expr(f"try_parse_json(`{column}`)")).withColumn("__paths", record_paths(F.col("__r")))
+    known = F.array_intersect("__paths", F.array(*map(F.lit, sorted(_KNOWN))))
+    of_records = sorted((m for m in MAPPINGS if m.turns), key=lambda m: (len(m.paths), m.name), reverse=True)
+    lookup = F.create_map(*(F.lit(x) for m in of_records for x in (_digest(m.paths), m.name)))
+    # the largest layout that the record holds, where its known paths are no layout's
+    held = F.lit(None).cast("string")
+    for m in sorted(of_records, key=lambda m: (-len(m.paths), m.name), reverse=True):
+        held = F.when(F.size(F.array_except(F.array(*map(F.lit, m.paths)), known)) == 0, F.lit(m.name)).otherwise(held)
+    named = paths.withColumn("__layout", F.when(F.col("__paths").isNotNull(), F.coalesce(F.try_element_at(lookup, F.sha2(F.array_join(known, "\n"), 256)), held)))
+    turns = F.lit(None).cast("array<struct<role:string,text:string>>")
+    fingerprint = F.sha2(F.array_join("__paths", "\n"), 256)
+    for m in of_records:
+        turns = F.when(F.col("__layout") == m.name, F.expr(m.turns.replace("(r,", "(__r,"))).otherwise(turns)
+        fingerprint = F.when(F.col("__layout") == m.name, F.lit(_digest(m.paths))).otherwise(fingerprint)
+    return named.withColumn("fingerprint", fingerprint).withColumn("turns", turns).select(*out, "fingerprint", "turns")
+
 
-    return text(tree)
+def unknown_layouts(records: DataFrame, column: str) -> DataFrame:
+    """(fingerprint, paths, n): the records of each layout that no mapping knows, those that are no JSON object under a null fingerprint.
+    Counts are added up before they are shuffled."""
+    told = record_turns(records.select(F.col(column).alias("record")), "record").where("turns IS NULL")
+    return told.groupBy("fingerprint", record_paths(F.expr("try_parse_json(record)")).alias("paths")).agg(F.count("*").alias("n"))
 
 
 def escape(c: Column, escapes=ESCAPES) -> Column:
@@ -154,6 +177,11 @@ def turn_string(role: Column, text: Column) -> Column:
     return F.concat(F.lit(f"{OPEN}{HEAD}"), escape(F.coalesce(role, F.lit("")), ROLE_ESCAPES), F.lit("\n"), escape(F.coalesce(text, F.lit(""))), F.lit(f"{CLOSE}\n"))
 
 
+def _spread(df: DataFrame, text: str) -> DataFrame:
+    """Turn rows of conversations that hold their turns."""
+    return df.select("conv_id", F.posexplode("turns").alias("turn", "m")).select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("m.role").alias("role"), F.col(f"m.{text}").alias("text"))
+
+
 def _rows(df: DataFrame) -> DataFrame:
     """Turn rows (conv_id, turn, role, text) of a table of a known layout."""
     m = layout(df.schema)
@@ -162,7 +190,9 @@ def _rows(df: DataFrame) -> DataFrame:
     if m.name == "turn_rows":
         return df.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     if m.name == "message_rows":
-        return df.select(F.col("conv_id").cast("long").alias("conv_id"), F.posexplode("messages").alias("turn", "m")).select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("m.role").alias("role"), F.col("m.content").alias("text"))
+        return _spread(df.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("messages").alias("turns")), "content")
+    if m.name == "json_rows":
+        return _spread(record_turns(df.select(F.col("conv_id").cast("long").alias("conv_id"), "record"), "record").where("turns IS NOT NULL"), "text")
     raise ValueError(f"layout {m.name} has no conversation key")
 
 

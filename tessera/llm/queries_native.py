@@ -13,7 +13,8 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 
 def op1_chat_formatting(spark, sf_dir):
     """Digests of every conversation, read back from its formatted text."""
-    odd = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.array(*(F.struct(F.lit(r).alias("role"), F.lit(ODD_TEXT).alias("content")) for r in ("user", "assistant"))).alias("messages"))
+    messages = F.array(*(F.struct(F.lit(r).alias("role"), F.lit(ODD_TEXT).alias("content")) for r in ("user", "assistant")))
+    odd = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.to_json(F.struct(F.lit("added").alias("source"), messages.alias("messages"))).alias("record"))
     formatted = chat.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"), odd)
     turns = formatted.select("conv_id", F.length("formatted").cast("long").alias("formatted_chars"), chat.parse(F.col("formatted")).alias("turns"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
