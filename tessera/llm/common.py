@@ -51,14 +51,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bitmap(keys: DataFrame, column: str, n: int) -> np.ndarray:
-    """A filter of ``n`` 64-bit keys as 64-bit words: about 16 bits a key, MAX_FILTER_BITS at most, so its size is bounded.
-    Spark ors the bits of each word; the driver gets at most 2**21 words. A key that is in is always found; others rarely are,
+def bitmap(keys: DataFrame, column: str, n: int, most: int = MAX_FILTER_BITS, hashed: bool = False) -> np.ndarray:
+    """A filter of ``n`` 64-bit keys as 64-bit words: about 16 bits a key, ``most`` in all, so its size is bounded. Keys that are hashes
+    already are not hashed again. Spark ors the bits of each word; the driver gets ``most / 64`` words at most. A key that is in is always found; others rarely are,
     so an exact join has to follow."""
     bits = 1 << 16
-    while bits < min(16 * n, MAX_FILTER_BITS):
+    while bits < min(16 * n, most):
         bits *= 2
-    mixed = keys.where(F.col(column).isNotNull()).select(F.xxhash64(column).alias("m"))
+    mixed = keys.where(F.col(column).isNotNull()).select((F.col(column) if hashed else F.xxhash64(column)).alias("m"))
     each = mixed.selectExpr(f"m & {(bits >> 6) - 1} AS w", "shiftleft(1L, CAST(shiftrightunsigned(m, 58) AS int)) AS b")
     rows = each.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     out = np.zeros(bits >> 6, np.int64)
