@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import bound_batches
 
-#: Words in the lexicon, and distinct chunks that a worker counts before it hands its counts on.
-LEXICON_WORDS, COUNTED_WORDS = 1 << 16, 1 << 19
-#: Chunks whose ids a worker keeps at hand; they are dropped all at once between two steps.
-KEPT_CHUNKS = 3 << 17
-#: Bytes of the longest word that is counted and of the longest chunk that is kept: what a worker holds is bounded in bytes, too.
-LONGEST = 64
+#: Words in the lexicon, and the longest of them in bytes.
+LEXICON_WORDS, LONGEST = 1 << 16, 64
+#: Distinct chunks that a worker counts, or bytes that it reads, before it hands its counts on.
+COUNTED_WORDS, COUNTED_BYTES = 1 << 19, 1 << 26
+#: Chunks, or bytes of chunks, whose ids a worker keeps at hand; they are dropped all at once between two steps.
+KEPT_CHUNKS, KEPT_BYTES = 3 << 17, 1 << 24
 #: Characters of the texts that are split at once: chunks take many times the memory of their text.
 AT_ONCE = 1 << 20
 
@@ -83,7 +83,8 @@ _CAPITALS = (
     (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x0264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x019B - 0xA7DC), (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
 )
 _SMALL = {c: c + d for a, b, d in _CAPITALS for c in range(a, b + 1)}
-_CAPITAL = regex.compile("[" + "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b, _ in _CAPITALS) + "]")
+#: What the UTF-8 of such a capital holds.
+_CAPITAL_BYTES = tuple({chr(c).encode()[: 2 if c < 0x10000 else 3] for c in _SMALL})
 
 
 def _pattern(source: str) -> regex.Pattern:
@@ -133,13 +134,15 @@ class Vocabulary:
 
     def clean(self, section: str) -> bytes:
         """Normal form and lower case, character by character (no final sigma)."""
-        if not section.isascii():
-            section = unicodedata.normalize("NFC", section)
-            if "Σ" in section:
-                section = section.replace("Σ", "σ")
-            if _CAPITAL.search(section):
-                section = section.translate(_SMALL)
-        return section.lower().encode("utf-8", "surrogatepass")
+        if section.isascii():
+            return section.lower().encode()
+        section = unicodedata.normalize("NFC", section)
+        if "Σ" in section:
+            section = section.replace("Σ", "σ")
+        out = section.lower().encode("utf-8", "surrogatepass")
+        if any(x in out for x in _CAPITAL_BYTES):
+            out = section.lower().translate(_SMALL).encode("utf-8", "surrogatepass")
+        return out
 
     def words(self, chunk: bytes) -> list[bytes]:
         """The words of a chunk without ASCII blanks. Letters alone, or before one ASCII stop, need no look at the pattern."""
@@ -297,7 +300,7 @@ class Codec:
     """Encodes and decodes in one worker."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None):
-        self.v, self.lexicon, self.kept = vocabulary, lexicon, {}
+        self.v, self.lexicon, self.kept, self.size = vocabulary, lexicon, {}, 0
         self.pieces = np.array([t.encode() for t in vocabulary.tokens], object)
 
     def _learn(self, chunks: set[bytes]) -> None:
@@ -308,6 +311,7 @@ class Codec:
         ids = {w: f if f is not None else array("I", self.v.merge(w)).tobytes() for w, f in zip(words, found, strict=True)}
         for c, ws in parts.items():
             self.kept[c] = ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])
+            self.size += len(c)
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, step by step."""
@@ -327,8 +331,9 @@ class Codec:
         yield from self._step(step)
 
     def _step(self, texts: list[str]) -> list[bytes]:
-        if len(self.kept) >= KEPT_CHUNKS:
+        if len(self.kept) >= KEPT_CHUNKS or self.size >= KEPT_BYTES:
             self.kept.clear()
+            self.size = 0
         v, kept = self.v, self.kept
         split: list[list] = []
         new: set[bytes] = set()
@@ -344,10 +349,7 @@ class Codec:
             split.append(sections)
         self._learn(new.difference(kept))
         get = kept.__getitem__
-        out = [b"".join([np.array([s], "<u4").tobytes() if isinstance(s, int) else b"".join(map(get, s)) for s in sections]) for sections in split]
-        for c in [c for c in new if len(c) > LONGEST]:
-            del kept[c]
-        return out
+        return [b"".join([np.array([s], "<u4").tobytes() if isinstance(s, int) else b"".join(map(get, s)) for s in sections]) for sections in split]
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_batch([text]))
@@ -366,36 +368,28 @@ def count_words(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         counts: Counter[bytes] = Counter()
-        words: Counter[bytes] = Counter()
-
-        def add(chunk: bytes, n: int) -> None:
-            for w in v.words(chunk):
-                if len(w) <= LONGEST:
-                    words[w] += n
+        size = 0
 
         def flush() -> pa.RecordBatch:
+            words: Counter[bytes] = Counter()
             for chunk, n in counts.items():
-                add(chunk, n)
-            out = pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
+                for w in v.words(chunk):
+                    if len(w) <= LONGEST:
+                        words[w] += n
             counts.clear()
-            words.clear()
-            return out
+            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
         for b in batches:
             for t in b.column("text").to_pylist():
-                for part in pieces(t or ""):
+                for part in pieces(t) if t else ():
                     for s in v.parts.split(part) if v.parts and "<|" in part else [part]:
-                        if s in v.special or not (chunks := v.clean(s).split()):
-                            continue
-                        if max(map(len, chunks)) > LONGEST:  # such a chunk is not kept
-                            for c in chunks:
-                                if len(c) > LONGEST:
-                                    add(c, 1)
-                            chunks = [c for c in chunks if len(c) <= LONGEST]
-                        counts.update(chunks)
-                if len(counts) + len(words) >= COUNTED_WORDS:
-                    yield flush()
-        if counts or words:
+                        if s not in v.special:
+                            counts.update(v.clean(s).split())
+                    size += len(part)
+                    if len(counts) >= COUNTED_WORDS or size >= COUNTED_BYTES:
+                        yield flush()
+                        size = 0
+        if counts:
             yield flush()
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))

@@ -60,9 +60,12 @@ def test_pieces_give_the_same(monkeypatch, library, vocabulary):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
-def test_what_a_worker_keeps_is_bounded_in_bytes(spark, vocabulary):
+def test_what_a_worker_keeps_is_bounded_in_bytes(spark, vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "AT_ONCE", 1000)
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 2000)
     codec = bpe.Codec(vocabulary)
-    list(codec.encode_batch([f"{k}" + "Q" * 500 for k in range(200)] + ["short words"]))
-    assert sorted(codec.kept) == [b"short", b"words"]
-    table = spark.createDataFrame([("y" * 65 + " " + "y" * 64 + " short",)], "text string")
-    assert {bytes(r["word"]) for r in bpe.count_words(table, vocabulary).collect()} == {b"y" * 64, b"short"}
+    for _ in codec.encode_batch([f"{k}" + "Q" * 500 for k in range(200)] + ["short words"]):
+        assert sum(map(len, codec.kept)) < 2000 + 1600
+    monkeypatch.setattr(bpe, "COUNTED_BYTES", 60)
+    table = spark.createDataFrame([("y" * 65 + " " + "y" * 64 + " short",)] * 3, "text string").coalesce(1)
+    assert {bytes(r["word"]): r["n"] for r in bpe.count_words(table, vocabulary).collect()} == {b"y" * 64: 3, b"short": 3}
