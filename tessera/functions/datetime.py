@@ -236,6 +236,8 @@ def convert_timezone(target: str, x, source: str = "UTC") -> Column:
 def rounded_now(p: int = 6) -> Column:
     """CURRENT_TIMESTAMP(p): fixed for a statement, rounded to p digits."""
     now = F.current_timestamp()
+    if p >= 6:
+        return now
     return F.timestamp_micros(F.round(F.unix_micros(now), p - 6).cast("bigint"))
 
 
@@ -243,6 +245,11 @@ def current_date() -> Column:
     return F.current_date()
 
 
+def rounded_local(p: int = 6) -> Column:
+    """LOCALTIMESTAMP(p)."""
+    return F.localtimestamp() if p >= 6 else from_micros(F.round(micros(F.localtimestamp()), p - 6).cast("bigint"))
+
+
 def localtimestamp() -> Column:
     return F.localtimestamp()
 

@@ -86,14 +86,50 @@ def _sum_of_lengths(parts: Column, n) -> Column:
     return F.aggregate(F.slice(parts, F.lit(1), F.lit(n)), F.lit(0), lambda a, x: a + F.length(x))
 
 
-def regexp_instr(s, pattern: str, start: int = 1, n: int = 1, endopt: int = 0, flags: str = "") -> Column:
-    """The place of the n-th match that starts at ``start`` or later (endopt 1: the place after it); 0 if there is none."""
+def regexp_instr(s, pattern: str, start: int = 1, n: int = 1, endopt: int = 0, flags: str = "", group: int = 0) -> Column:
+    """The place of the n-th match that starts at ``start`` or later (endopt 1: the place after it), or of a group of it; 0 if there is
+    none. A group's place is found by matching the pattern with what stands before the group as a group of its own."""
     tail, p = F.substr(_c(s), F.lit(start)), flagged(pattern, flags)
     found = _all(tail, p)
-    at = _sum_of_lengths(_between(tail, p), n) + _sum_of_lengths(found, n - 1 + endopt) + start
+    at = _sum_of_lengths(_between(tail, p), n) + _sum_of_lengths(found, n - 1) + start
+    if group:
+        if group > re.compile(pattern).groups:
+            return F.when(_c(s).isNotNull(), F.lit(0)).cast("bigint")
+        match = F.try_element_at(found, F.lit(n))
+        head = F.regexp_extract(match, _headed(p, group), 1)
+        at = at + F.length(head)
+        part = F.regexp_extract(match, p, group)
+        at = at + F.length(part) if endopt else at
+    elif endopt:
+        at = at + F.length(F.try_element_at(found, F.lit(n)))
     return F.when(F.size(found) < n, F.lit(0)).otherwise(at).cast("bigint")
 
 
+def _headed(pattern: str, group: int) -> str:
+    """A pattern whose first group is what stands before the given group, which stands outside of other groups."""
+    flags = re.match(r"\(\?[a-z]+\)", pattern)[0]
+    body, depth, seen, k = pattern[len(flags) :], 0, 0, 0
+    while k < len(body):
+        c = body[k]
+        if c == "\\":
+            k += 2
+            continue
+        if c == "[":
+            k = body.index("]", k + 2)
+        elif c == "(":
+            capturing = not body.startswith("(?", k)
+            seen += capturing
+            if capturing and seen == group:
+                if depth:
+                    raise NotImplementedError("the place of a group within a group")
+                return f"{flags}({body[:k]}){body[k:]}"
+            depth += 1
+        elif c == ")":
+            depth -= 1
+        k += 1
+    raise ValueError(f"no group {group}")
+
+
 def regexp_substr(s, pattern: str, start: int = 1, n: int = 1, flags: str = "", group: int = 0) -> Column:
     """The n-th match, or a group of it; NULL if there is none."""
     return F.try_element_at(_all(F.substr(_c(s), F.lit(start)), flagged(pattern, flags), group), F.lit(n))

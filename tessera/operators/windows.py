@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,33 +24,83 @@ def groups_frame(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     return df.drop("__g")
 
 
-def excluding(df: DataFrame, partition: Sequence[str], order: Sequence[str], unique: Sequence[str], value: str, exclude: str, start: int = W.unboundedPreceding, end: int = W.unboundedFollowing, sum_name: str = "s", count_name: str = "c") -> DataFrame:
-    """SUM and COUNT of ``value`` over a ROWS frame with EXCLUDE current row, group, ties or no others. The excluded part is
-    subtracted, so no frame is collected: its rows are those of the peer group that lie in the frame."""
+#: Rows beside the current one that a ROWS frame with EXCLUDE GROUP or TIES may reach by number.
+MOST_BESIDE = 200
+_LOW, _HIGH = -(1 << 31), 1 << 31
+
+
+def frames(mode: str, start: int, end: int, exclude: str) -> list[tuple[str, int, int]]:
+    """A frame without what it excludes, as frames apart from each other: (kind, start, end). The kinds are "groups" (of peers, by
+    number), "rows", "peers" (rows among the current row's peers) and "beside" (a single row so far away, unless it is a peer). Nothing has to
+    be subtracted, so infinities and rounding stay out of it. Ends beyond 2**31 are unbounded."""
+    start, end = max(start, _LOW), min(end, _HIGH)
+    inside = start <= 0 <= end
+    kind = "rows" if mode == "rows" else "groups"
+
+    def span(k: str, a: int, b: int) -> list[tuple[str, int, int]]:
+        return [(k, a, b)] if a <= b else []
+
+    sides = span(kind, start, min(end, -1)) + span(kind, max(start, 1), end)
+    if exclude == "no others" or not inside and (mode != "rows" or exclude == "current row"):
+        return span(kind, start, end)
+    if exclude == "current row":
+        return sides if mode == "rows" else sides + [("peers", _LOW, -1), ("peers", 1, _HIGH)]
+    own = [("rows", 0, 0)] if exclude == "ties" and inside else []
+    if mode != "rows":
+        return sides + own
+    out = own
+    for a, b, whole in ((start, min(end, -1), ("groups", _LOW, -1)), (max(start, 1), end, ("groups", 1, _HIGH))):
+        if a > b:
+            continue
+        if a == _LOW and b == -1 or a == 1 and b == _HIGH:
+            out = [*out, whole]
+        elif a == _LOW or b == _HIGH or b - a >= MOST_BESIDE:
+            raise NotImplementedError("such a frame can't exclude peers")
+        else:
+            out = [*out, *(("beside", j, j) for j in range(a, b + 1))]
+    return out
+
+
+def numbered(df: DataFrame, partition: Sequence[str], order: Sequence[str], unique: Sequence[str] = ()) -> DataFrame:
+    """Add ``__g``, the number of the peer group, and ``__rn``, that of the row."""
     keys = [F.col(c).asc_nulls_last() for c in order]
-    rows = W.partitionBy(*partition).orderBy(*keys, *unique)
+    return df.withColumn("__g", F.dense_rank().over(W.partitionBy(*partition).orderBy(*keys))).withColumn("__rn", F.row_number().over(W.partitionBy(*partition).orderBy(*keys, *unique)))
+
+
+def framed(df: DataFrame, partition: Sequence[str], order: Sequence[str], unique: Sequence[str], value: str, mode: str, start: int, end: int, exclude: str = "no others", **names: str) -> DataFrame:
+    """Aggregates of ``value`` (sum, count, min, max, avg as names of columns) over a ROWS or GROUPS frame with any EXCLUDE. No frame is
+    collected."""
+    df = numbered(df, partition, order, unique)
     v = F.col(value)
-    frame = rows.rowsBetween(start, end)
-    df = df.withColumn("__s", F.sum(v).over(frame)).withColumn("__c", F.count(v).over(frame)).withColumn("__rn", F.row_number().over(rows))
-    zero = F.lit(0)
-    own_in = (F.lit(start) <= 0) & (F.lit(end) >= 0)
-    own_s, own_c = F.when(own_in, F.coalesce(v, zero)).otherwise(zero), F.when(own_in & v.isNotNull(), 1).otherwise(0)
-    if exclude == "no others":
-        cut_s, cut_c = zero, zero
-    elif exclude == "current row":
-        cut_s, cut_c = own_s, own_c
-    else:
-        # peers in the frame: running sums at the frame's ends, clipped to the peer group
-        df = df.withColumn("__g", F.dense_rank().over(W.partitionBy(*partition).orderBy(*keys)))
-        group = W.partitionBy(*partition, "__g").orderBy("__rn")
-        peers = group.rangeBetween(start, end)
-        df = df.withColumn("__ps", F.sum(v).over(peers)).withColumn("__pc", F.count(v).over(peers))
-        cut_s, cut_c = F.coalesce("__ps", zero), F.col("__pc")
-        if exclude == "ties":
-            cut_s, cut_c = cut_s - own_s, cut_c - own_c
-    count = F.col("__c") - cut_c
-    out = df.withColumn(sum_name, F.when(count > 0, F.coalesce("__s", zero) - cut_s)).withColumn(count_name, count)
-    return out.drop("__s", "__c", "__rn", "__g", "__ps", "__pc")
+    by_rows, by_groups = W.partitionBy(*partition).orderBy("__rn"), W.partitionBy(*partition).orderBy("__g")
+    windows = {"rows": by_rows.rowsBetween, "groups": by_groups.rangeBetween, "peers": W.partitionBy(*partition, "__g").orderBy("__rn").rowsBetween}
+    wide = lambda a, b: (W.unboundedPreceding if a == _LOW else a, W.unboundedFollowing if b == _HIGH else b)
+    sums, counts, least, most = [], [], [], []
+    for kind, a, b in frames(mode, start, end, exclude):
+        if kind == "beside":
+            x = F.when(F.lag("__g", -a).over(by_rows) != F.col("__g"), F.lag(v, -a).over(by_rows))
+            parts = x, F.when(x.isNotNull(), 1).otherwise(0), x, x
+        else:
+            w = windows[kind](*wide(a, b))
+            parts = F.sum(v).over(w), F.count(v).over(w), F.min(v).over(w), F.max(v).over(w)
+        for out, part in zip((sums, counts, least, most), parts, strict=True):
+            out.append(part)
+    count = reduce(lambda a, b: a + b, counts, F.lit(0)).cast("bigint")
+    total = F.when(count > 0, reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0)) for x in sums])) if sums else F.lit(None).cast(df.schema[value].dataType)
+    ends = {"min": (F.least, least), "max": (F.greatest, most)}
+    for kind, name in names.items():
+        if kind in ends:
+            fn, parts = ends[kind]
+            out = fn(*parts) if len(parts) > 1 else parts[0] if parts else F.lit(None).cast(df.schema[value].dataType)
+        else:
+            out = {"sum": total, "count": count, "avg": F.when(count > 0, total.cast("double") / count)}[kind]
+        df = df.withColumn(name, out)
+    return df.drop("__g", "__rn")
+
+
+def excluding(df: DataFrame, partition: Sequence[str], order: Sequence[str], unique: Sequence[str], value: str, exclude: str, start: int = W.unboundedPreceding, end: int = W.unboundedFollowing, sum_name: str = "s", count_name: str = "c") -> DataFrame:
+    """SUM and COUNT of ``value`` over a ROWS frame with EXCLUDE current row, group, ties or no others."""
+    return framed(df, partition, order, unique, value, "rows", start, end, exclude, sum=sum_name, count=count_name)
 
 
 def ntile(n: Column, partition: Sequence[str], order: Sequence[Column]) -> Column:
@@ -61,13 +112,16 @@ def ntile(n: Column, partition: Sequence[str], order: Sequence[Column]) -> Colum
     return (F.when(k < edge, F.floor(k / (small + 1))).otherwise(more + F.floor((k - edge) / F.greatest(small, F.lit(1)))) + 1).cast("bigint")
 
 
-def shifted(x: Column, offset: Column, partition: Sequence[str], order: Sequence[Column], default: Column | None = None) -> Column:
-    """LAG (LEAD with a negative offset) by an offset from the row: the value by place from the partition's list. For small partitions."""
-    w = W.partitionBy(*partition)
-    k = F.row_number().over(w.orderBy(*order))
-    rows = F.collect_list(F.struct(x.alias("x"))).over(w.orderBy(*order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    at = k - offset
-    return F.when((at >= 1) & (at <= F.size(rows)), F.try_element_at(rows, at.cast("int"))["x"]).otherwise(default if default is not None else F.lit(None))
+def shifted(df: DataFrame, x: str, offset: str, partition: Sequence[str], order: Sequence[str], unique: Sequence[str], name: str, default: Column | None = None) -> DataFrame:
+    """Add LAG (LEAD with a negative offset) by an offset from the row: the row's place less the offset is looked up among the partition's
+    numbered rows, an equi-join by partition and place, so no partition is collected."""
+    keys = [F.col(c).asc_nulls_last() for c in order]
+    rows = df.withColumn("__rn", F.row_number().over(W.partitionBy(*partition).orderBy(*keys, *unique)))
+    other = rows.select(*[F.col(c).alias(f"__p{k}") for k, c in enumerate(partition)], F.col("__rn").alias("__at"), F.col(x).alias("__v"), F.lit(True).alias("__there"))
+    same = [F.col(c).eqNullSafe(F.col(f"__p{k}")) for k, c in enumerate(partition)]
+    joined = rows.join(other, reduce(lambda a, b: a & b, [*same, F.col("__rn") - F.col(offset) == F.col("__at")]), "left")
+    value = F.when(F.col("__there"), F.col("__v")).when(F.col(offset).isNotNull(), F.lit(None) if default is None else default)
+    return joined.withColumn(name, value).select(*df.columns, name)
 
 
 def range_on_time(column: Column) -> Column:

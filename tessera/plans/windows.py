@@ -46,7 +46,7 @@ def win_offset(spark, sf):
 
 @query("win_offset_expression", "SELECT n_nationkey, lag(n_name, n_nationkey % 3) OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS a FROM nation")
 def win_offset_expression(spark, sf):
-    return load(spark, sf, "nation").select("n_nationkey", win.shifted(F.col("n_name"), F.col("n_nationkey") % 3, ["n_regionkey"], [F.col("n_nationkey")]).alias("a"))
+    return win.shifted(load(spark, sf, "nation").withColumn("k", F.col("n_nationkey") % 3), "n_name", "k", ["n_regionkey"], ["n_nationkey"], [], "a").select("n_nationkey", "a")
 
 
 @query("win_values", f"SELECT o_orderkey, first_value(o_orderkey) OVER w AS f, last_value(o_orderkey) OVER w AS l, nth_value(o_orderkey, 2) OVER w AS n FROM orders WINDOW w AS ({_CUST} ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera import session
 from tessera.operators import catalog as cat
 from tessera.operators import dml
-from tessera.sql import dialect
+from tessera.sql import dialect, functions, typed
 from tessera.sql.lexer import Group, parse, split, words
 
 
@@ -37,6 +37,7 @@ class Engine:
         base = folder or spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
         self.spark, self.folder = spark, f"{base.rstrip('/')}/tessera-{spark.sparkContext.applicationId}/tables-{uuid.uuid4().hex[:8]}"
         self.tables: dict[str, dml.Table] = {}
+        functions.python_functions(spark)
         self.settings = cat.Settings(spark)
 
     # queries and scripts
@@ -53,10 +54,12 @@ class Engine:
         return self.sql(text).schema
 
     def _query(self, items: list, params: Sequence | None = None) -> DataFrame:
-        text = dialect.query(items)
-        if not params:
-            return self.spark.sql(text)
-        return self.spark.sql(text, args={f"p{k}": v for k, v in enumerate(params, 1)} if ":p1" in text else list(params))
+        def run(text: str) -> DataFrame:
+            if not params:
+                return self.spark.sql(text)
+            return self.spark.sql(text, args={f"p{k}": v for k, v in enumerate(params, 1)} if ":p1" in text else list(params))
+
+        return run(typed.text_of(self.spark, lambda: dialect.query(items), run))
 
     def _run(self, statement: str, params: Sequence | None) -> DataFrame | None:
         items = parse(statement)

@@ -2,7 +2,7 @@
 
 import pytest
 
-from tessera.sql import Engine, translate
+from tessera.sql import Engine
 from tests.oracle import connect
 
 SF = "/root/testdata/sf0.001"
@@ -53,8 +53,7 @@ def test_operators(engine):
     assert [r[0] for r in engine.sql("SELECT generate_series FROM generate_series(1, 3)").collect()] == [1, 2, 3]
     assert engine.sql("SELECT n_name FROM nation WHERE n_nationkey = $1", [3]).count() == 1
     assert engine.sql("SELECT n_name FROM nation WHERE n_nationkey = ? OR n_nationkey = ?", [3, 4]).count() == 2
-    with pytest.raises(NotImplementedError):
-        translate("SELECT 1 > ANY (SELECT 2)")
+    assert engine.sql("SELECT 1 > ANY (SELECT 2) AS a, 3 > ANY (SELECT 2) AS b").first()[:] == (False, True)
 
 
 def test_statements(engine):
