@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tessera.operators import catalog as cat
 from tessera.operators import dml
 from tessera.plans.registry import query
+from tessera.session import shared_folder
 from tessera.sources import arrow, infer
 from tessera.sources.tables import load
 from tessera.sql.engine import Engine
@@ -20,9 +21,8 @@ from tessera.streaming import windows as streaming
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of the session, or under /tmp/checkpoints where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
-    return f"{base.rstrip('/')}/tessera-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the shared folder of the session."""
+    return f"{shared_folder(spark)}/tessera-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def _customers(spark, sf) -> dml.Table:

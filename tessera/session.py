@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -38,6 +40,16 @@ def builder(app: str = "tessera", master: str | None = None, shuffle_partitions:
     return b
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one that spark.checkpoint.dir names. Only a local session may do without."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    return "file:///tmp/checkpoints"
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -47,7 +59,9 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
-    path = os.path.join(tempfile.mkdtemp(prefix="tessera-"), "tessera_package.zip")
+    folder = tempfile.mkdtemp(prefix="tessera-")  # the driver serves the file as long as it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "tessera_package.zip")
     with zipfile.ZipFile(path, "w") as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f.relative_to(root.parent))

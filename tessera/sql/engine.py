@@ -34,7 +34,7 @@ class Engine:
     def __init__(self, spark: SparkSession, folder: str | None = None):
         session.configure(spark)
         spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
-        base = folder or spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+        base = folder or session.shared_folder(spark)
         self.spark, self.folder = spark, f"{base.rstrip('/')}/tessera-{spark.sparkContext.applicationId}/tables-{uuid.uuid4().hex[:8]}"
         self.tables: dict[str, dml.Table] = {}
         functions.python_functions(spark)
