@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ship_package
+from tessera.session import shared_folder, ship_package
 
 #: Bits of the largest bitmap filter: 16 MB, whatever the size of the data.
 MAX_FILTER_BITS = 1 << 27
@@ -39,9 +39,8 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
 
 
 def staging(spark: SparkSession) -> str:
-    """A folder of this application in the shared folder that spark.checkpoint.dir names; only where that is unset (tests), one under /tmp/checkpoints."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
-    return f"{base.rstrip('/')}/tessera-{spark.sparkContext.applicationId}"
+    """A folder of this application in the shared folder that spark.checkpoint.dir names; a local session (tests) may leave that unset."""
+    return f"{shared_folder(spark)}/tessera-{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

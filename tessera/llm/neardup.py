@@ -38,6 +38,8 @@ WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 ROOTS, BRANCH, DEPTH = 16, 3, 4
 #: Documents of a node that are compared at once in one expression, and in one task; shingles of a node in one task.
 SMALL, NODE, NODE_SHINGLES = 48, 8192, 8_000_000
+#: Documents of a path that one task meets at once where it looks for the path's hub; those of a larger path are dealt over several.
+HOT = 1024
 #: Links that one task joins up; more take distributed rounds.
 ONE_TASK = 1 << 18
 #: Bits of a sketch, and the most differing bits of two that may reach the threshold: 32 are expected at 0.75, 60 is over five deviations more.
@@ -233,22 +235,21 @@ def _stars(edges: DataFrame) -> bool:
 
 
 def star_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b): each document of a node with the node's hub, where their sketches are near. Sums of bits are combined before
-    the shuffle, so a node may hold any number of documents."""
+    """(a, b): each document of a node with the node's hub, where their sketches are near. Sums of bits are combined before the shuffle, and
+    a path of many ``members`` is dealt over tasks by a salt, so a node may hold any number of documents."""
     bits = [F.sum(F.shiftright("s1", k).bitwiseAND(1)).alias(f"b{k}") for k in range(64)]
-    sums = nodes.groupBy("path").agg(F.count("*").alias("size"), *bits)
+    salted = nodes.withColumn("salt", F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / HOT)))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("members") / HOT) - 1)).alias("salt")
+    sums = nodes.groupBy("path").agg(F.count("*").alias("size"), F.max("members").alias("members"), *bits)
     parts = [F.when(2 * F.col(f"b{k}") > F.col("size"), F.lit((1 << k) - (1 << 64 if k == 63 else 0))).otherwise(F.lit(0)).cast("long") for k in range(64)]
     majority = parts[0]
     for p in parts[1:]:
         majority = majority.bitwiseOR(p)
-    common = sums.select("path", majority.alias("major"))
-    hubs = (
-        nodes.join(common, "path")
-        .groupBy("path")
-        .agg(F.min(F.struct(F.bit_count(F.col("s1").bitwiseXOR(F.col("major"))).alias("far"), "id", "n", *SK)).alias("hub"))
-    )
+    common = sums.select("path", majority.alias("major"), salts)
+    nearest = F.min(F.struct(F.bit_count(F.col("s1").bitwiseXOR(F.col("major"))).alias("far"), "id", "n", *SK))
+    hubs = salted.join(common, ["path", "salt"]).groupBy("path", "salt").agg(nearest.alias("hub"), F.max("members").alias("members")).groupBy("path").agg(F.min("hub").alias("hub"), F.max("members").alias("members"))
     near = _near("", "hub.")
-    return nodes.join(hubs, "path").where(f"id <> hub.id AND {near}").selectExpr("id AS a", "hub.id AS b").distinct()
+    return salted.drop("members").join(hubs.select("path", "hub", salts), ["path", "salt"]).where(f"id <> hub.id AND {near}").selectExpr("id AS a", "hub.id AS b").distinct()
 
 
 def _exhaustive(small: DataFrame) -> DataFrame:
@@ -406,7 +407,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = sk.where("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("doc_id", *fields)).alias("r")).select(F.col("r.doc_id").alias("id"), *[F.col(f"r.{c}").alias(c) for c in fields])
     reps = cut(reps, "reps")
     rooted = reps.select("id", F.posexplode("mh").alias("root", "token")).select("id", F.xxhash64("root", "token").alias("path"))
-    shared = rooted.groupBy("path").count().where("count > 1").select("path")
+    shared = rooted.groupBy("path").agg(F.count("*").alias("members")).where("members > 1")
     nodes = cut(rooted.join(shared, "path").join(reps, "id"), "nodes")
     links = cut(confirm(cut(star_pairs(nodes), "stars"), docs), "links")
     final = _resolve(nodes, cut(components(links), "components"), docs)

@@ -10,10 +10,13 @@ are judged one by one; further columns of the input are ignored, whatever their
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tessera.llm.common import arrow_map
 
@@ -23,7 +26,7 @@ WINDOW = 8
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters")
 
-#: (rule, failing condition over the measures, an expression in both SQL and Python). A rule's bit is its place in this list; append only.
+#: (rule, failing condition over the measures, in SQL). A rule's bit is its place in this list; append only.
 RULES: tuple[tuple[str, str], ...] = (
     ("few_words", "n_words < 20"),
     ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
@@ -32,7 +35,6 @@ RULES: tuple[tuple[str, str], ...] = (
     ("word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
     ("shouting", "10 * n_upper > 7 * n_letters"),
 )
-_TESTS = [compile(fails, name, "eval") for name, fails in RULES]
 BIT = {name: 1 << k for k, (name, _) in enumerate(RULES)}
 
 #: Versions of the policy: the rules that reject. ``base`` is the contract's.
@@ -111,13 +113,19 @@ def _batch(b: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), *cols], schema=_SCHEMA)
 
 
+def failed_bits(prefix: str = "") -> Column:
+    """The failure bits of the measures in columns of these names: every rule is evaluated here and nowhere else."""
+    bits = F.lit(0).cast("long")
+    for name, fails in RULES:
+        test = re.sub(rf"\b({'|'.join(MEASURES)})\b", rf"`{prefix}\1`", fails)
+        bits = bits.bitwiseOR(F.when(F.expr(test), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))
+    return bits
+
+
 def ledger(docs: DataFrame) -> DataFrame:
     """(doc_id, measures.., failed_bits): every rule, once for each document."""
     measured = arrow_map(docs.select("doc_id", "text"), _batch, ", ".join(f"{f.name} long" for f in _SCHEMA))
-    bits = F.lit(0).cast("long")
-    for name, fails in RULES:
-        bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))
-    return measured.withColumn("failed_bits", bits)
+    return measured.withColumn("failed_bits", failed_bits())
 
 
 def mask(version: str) -> int:
@@ -142,18 +150,15 @@ def ablations(led: DataFrame, version: str = CURRENT) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, version: str = CURRENT) -> DataFrame:
-    """The rows of ``docs`` that a policy keeps, with all their columns, judged where they lie: no shuffle."""
-    fields = docs.schema
+    """The rows of ``docs`` that a policy keeps, with all their columns: their ledger beside them, judged where they lie, no shuffle."""
+    fields, prefix = docs.schema, "__ledger_"
+    at = fields.fieldNames().index("text")
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        want = mask(version)
-        keep = [not (failed_bits(measure(t or "")) & want) for t in b.column(fields.fieldNames().index("text")).to_pylist()]
-        return b.filter(pa.array(keep, pa.bool_()))
-
-    return arrow_map(docs, batch, fields)
-
+        rows = [measure(t or "") for t in b.column(at).to_pylist()]
+        measures = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(MEASURES))]
+        return pa.RecordBatch.from_arrays([*b.columns, *measures], [*b.schema.names, *(prefix + m for m in MEASURES)])
 
-def failed_bits(values: tuple[int, ...]) -> int:
-    """The failure bits of one document's measures, as ledger() computes them."""
-    m = dict(zip(MEASURES, values, strict=True))
-    return sum(1 << k for k, test in enumerate(_TESTS) if eval(test, {}, m))  # noqa: S307  the RULES above
+    wide = StructType([*fields.fields, *(StructField(prefix + m, LongType()) for m in MEASURES)])
+    kept = arrow_map(docs, batch, wide).where(failed_bits(prefix).bitwiseAND(mask(version)) == 0)
+    return kept.select(*[F.col(f"`{c}`") for c in fields.fieldNames()])
