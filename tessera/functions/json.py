@@ -70,70 +70,61 @@ def text_array(text: str) -> list[str]:
     return [m[1].replace('\\"', '"').replace("\\\\", "\\") if m[1] is not None else m[2] for m in _ITEM.finditer(text.strip()[1:-1])]
 
 
-_STRING = re.compile(r'"(?:[^"\\]|\\.)*"')
-_SCALAR = re.compile(r"[^\s,\]}]+")
 _BLANK = re.compile(r"\s*")
 
 
-def _skip(text: str, at: int) -> int:
-    """The end of the value that begins at ``at``."""
-    if text[at] == '"':
-        return _STRING.match(text, at).end()
-    if text[at] not in "{[":
-        return _SCALAR.match(text, at).end()
-    depth, k = 0, at
-    while True:
-        c = text[k]
-        if c == '"':
-            k = _STRING.match(text, k).end()
-            continue
-        depth += (c in "{[") - (c in "}]")
-        k += 1
-        if not depth:
-            return k
+#: Reads the value that begins at a place, and tells its end.
+_value = _json.JSONDecoder(strict=False).raw_decode
 
 
 def _member(text: str, step: str | int) -> str | None:
-    """The exact text of a member or element; of equal keys the last."""
-    at = _BLANK.match(text).end()
-    if at == len(text):
-        raise _malformed(text)
-    if text[at] not in "{[":
-        return None
-    is_object = text[at] == "{"
-    k, n, values = _BLANK.match(text, at + 1).end(), 0, []
-    found = None
-    while text[k] not in "}]":
-        key = None
-        if is_object:
-            end = _STRING.match(text, k).end()
-            key = _json.loads(text[k:end])
-            k = _BLANK.match(text, _BLANK.match(text, end).end() + 1).end()
-        end = _skip(text, k)
-        if is_object and key == str(step) and not isinstance(step, int):
-            found = text[k:end]
-        if not is_object:
-            values.append((k, end))
-        k = _BLANK.match(text, end).end()
-        if text[k] == ",":
-            k = _BLANK.match(text, k + 1).end()
-        n += 1
+    """The exact text of a member or element; of equal keys the last. The whole document is read, so a malformed one is an error."""
+    try:
+        at = _BLANK.match(text).end()
+        if text[at] not in "{[":
+            _, end = _value(text, at)
+            if text[end:].strip():
+                raise _malformed(text)
+            return None
+        is_object = text[at] == "{"
+        k, spans, found = _BLANK.match(text, at + 1).end(), [], None
+        while text[k] not in "}]":
+            key = None
+            if is_object:
+                key, end = _value(text, k)
+                k = _BLANK.match(text, end).end()
+                if not isinstance(key, str) or text[k] != ":":
+                    raise _malformed(text)
+                k = _BLANK.match(text, k + 1).end()
+            _, end = _value(text, k)
+            if is_object and key == step:
+                found = (k, end)
+            elif not is_object:
+                spans.append((k, end))
+            k = _BLANK.match(text, end).end()
+            if text[k] == ",":
+                k = _BLANK.match(text, k + 1).end()
+                if text[k] in "}]":
+                    raise _malformed(text)
+            elif text[k] not in "}]":
+                raise _malformed(text)
+        if text[k] != ("}" if is_object else "]") or text[k + 1 :].strip():
+            raise _malformed(text)
+    except (IndexError, _json.JSONDecodeError):
+        raise _malformed(text) from None
     if not is_object:
         try:
-            a, b = values[int(step)]
+            found = spans[int(step)]
         except (ValueError, IndexError):
             return None
-        return text[a:b]
-    return found
+    return found and text[found[0] : found[1]]
 
 
 def _path(text: str | None, steps: list) -> str | None:
     """The exact text at a path; a document that is none is an error that names it."""
-    if text is not None:
-        try:
-            _json.loads(text)
-        except ValueError:
-            raise _malformed(text) from None
+    if text is not None and not steps:
+        _member(text, 0)
+        return text.strip()
     for s in steps:
         if text is None:
             return None

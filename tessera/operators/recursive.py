@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.session import shared_folder
@@ -24,33 +25,75 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class _Rounds:
+    """The rows of all rounds so far, each written once and merged with others of its size: n rows are written about log(n) times."""
+
+    def __init__(self, first: DataFrame):
+        self.parts: list[tuple[int, DataFrame]] = [(0, first)]
+
+    def add(self, df: DataFrame) -> None:
+        level = 0
+        while self.parts and self.parts[-1][0] == level and len(self.parts) > 1:
+            df, level = _checkpointed(self.parts.pop()[1].unionAll(df)), level + 1
+        self.parts.append((level, df))
+
+    @property
+    def rows(self) -> DataFrame:
+        return reduce(DataFrame.unionAll, [p for _, p in self.parts])
+
+
 def recursive_union(base: DataFrame, step: Callable[[DataFrame], DataFrame], most: int = MOST_ROUNDS) -> DataFrame:
     """WITH RECURSIVE .. UNION: rows seen before are dropped, so cycles end. NULLs are equal."""
-    seen = fresh = _checkpointed(base.distinct())
+    fresh = _checkpointed(base.distinct())
+    seen = _Rounds(fresh)
     names = base.columns
     for _ in range(most):
         new = step(fresh).toDF(*names).distinct().alias("n")
         same = reduce(lambda a, b: a & b, [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in names])
-        fresh = _checkpointed(new.join(seen.alias("s"), same, "left_anti"))
+        fresh = _checkpointed(new.join(seen.rows.alias("s"), same, "left_anti"))
+        if fresh.isEmpty():
+            return seen.rows
+        seen.add(fresh)
+    raise RuntimeError("a recursive query did not end")
+
+
+def rounds(base: DataFrame, step: Callable[[DataFrame], DataFrame], most: int = MOST_ROUNDS) -> DataFrame:
+    """WITH RECURSIVE .. UNION ALL, round by round, for steps that Spark's own recursion can't take."""
+    fresh = _checkpointed(base)
+    seen = _Rounds(fresh)
+    for _ in range(most):
+        fresh = _checkpointed(step(fresh).select(*base.columns))
         if fresh.isEmpty():
-            return seen
-        seen = _checkpointed(seen.unionAll(fresh))
+            return seen.rows
+        seen.add(fresh)
     raise RuntimeError("a recursive query did not end")
 
 
+def ordered(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Number all rows by a key. Rows are dealt by ranges of the key and numbered within each; a range's offset, a row each, comes from the
+    numbers of rows before it, so no task sorts all rows."""
+    dealt = _checkpointed(df.repartitionByRange(F.col(key)).withColumn("__range", F.spark_partition_id()))
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__rows"))
+    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.__range") < F.col("a.__range"), "left").groupBy("a.__range").agg(F.coalesce(F.sum("b.__rows"), F.lit(0)).alias("__before"))
+    own = F.row_number().over(W.partitionBy("__range").orderBy(key))
+    return dealt.join(F.broadcast(before), "__range").withColumn(name, (own + F.col("__before")).cast("bigint")).drop("__range", "__before")
+
+
 def walk(spark: SparkSession, base: DataFrame, edges: DataFrame, source: str, target: str, key: str, most: int = MOST_ROUNDS) -> DataFrame:
     """Paths from base rows along edges: columns of base, ``depth``, ``path`` (array of keys) and ``is_cycle``. A path ends
     when it comes to a key that it holds already; that last row is marked, as CYCLE .. SET does."""
-    out = front = _checkpointed(base.withColumn("depth", F.lit(0)).withColumn("path", F.array(key)).withColumn("is_cycle", F.lit(False)))
+    front = _checkpointed(base.withColumn("depth", F.lit(0)).withColumn("path", F.array(key)).withColumn("is_cycle", F.lit(False)))
+    out = _Rounds(front)
+    columns = front.columns
     others = [c for c in base.columns if c != key]
     for _ in range(most):
         nxt = front.where("NOT is_cycle").join(edges.select(F.col(source).alias("__s"), F.col(target).alias("__t")), F.col(key) == F.col("__s"))
         front = _checkpointed(
-            nxt.select(*others, F.col("__t").alias(key), (F.col("depth") + 1).alias("depth"), F.concat("path", F.array("__t")).alias("path"), F.array_contains("path", F.col("__t")).alias("is_cycle")).select(*out.columns)
+            nxt.select(*others, F.col("__t").alias(key), (F.col("depth") + 1).alias("depth"), F.concat("path", F.array("__t")).alias("path"), F.array_contains("path", F.col("__t")).alias("is_cycle")).select(*columns)
         )
         if front.isEmpty():
-            return out
-        out = _checkpointed(out.unionAll(front))
+            return out.rows
+        out.add(front)
     raise RuntimeError("a recursive query did not end")
 
 

@@ -30,12 +30,17 @@ def timestamp_series(spark: SparkSession, start: str, stop: str, months: int = 0
     if not months:
         step = F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), F.lit(micros / 1_000_000).cast("decimal(18,6)"))
         return one.select(F.explode(F.sequence(a, b, step)).alias(name))
-    if months < 0 or days or micros:
-        raise ValueError("mixed steps are not supported")
-    # fold: each value comes from the one before; the number of steps is bounded by the months between the ends
-    count = F.greatest(F.lit(0), F.floor((F.year(b) * 12 + F.month(b) - F.year(a) * 12 - F.month(a)) / F.lit(months)) + 1).cast("int")
-    values = F.aggregate(F.sequence(F.lit(1), count), F.array(a), lambda acc, _: F.concat(acc, F.array(F.timestamp_add("MONTH", F.lit(months), F.element_at(acc, -1)).cast("timestamp_ntz"))))
-    return one.select(F.explode(F.filter(values, lambda x: x <= b)).alias(name))
+    # fold: each value comes from the one before; a step has 28 days a month at least, which bounds the number of steps
+    least = abs(months) * 28 * 86_400_000_000 + (1 if months > 0 else -1) * (days * 86_400_000_000 + micros)
+    if least <= 0:
+        raise ValueError("the parts of a step point to different sides")
+    up = F.lit(months > 0)
+    span = F.when(up, F.timestamp_diff("MICROSECOND", a, b)).otherwise(F.timestamp_diff("MICROSECOND", b, a))
+    count = F.least(F.lit(MOST), F.floor(span / F.lit(least)) + 1).cast("int")
+    step = lambda x: (F.timestamp_add("MONTH", F.lit(months), x) + F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), F.lit(micros / 1_000_000).cast("decimal(18,6)"))).cast("timestamp_ntz")
+    values = F.aggregate(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), F.array(a), lambda acc, _: F.concat(acc, F.array(step(F.element_at(acc, -1)))))
+    kept = F.when(span >= 0, F.filter(values, lambda x: F.when(up, x <= b).otherwise(x >= b)))
+    return one.select(F.explode(kept).alias(name))
 
 
 def lateral_series(df: DataFrame, start: str, stop: str, step: str = "1", name: str = "value") -> DataFrame:

@@ -103,12 +103,12 @@ def agg_stat_single(spark, sf_dir):
 @query("agg_percentile", "SELECT o_orderstatus, round(quantile_cont(o_totalprice, 0.25), 4) AS c, quantile_disc(o_totalprice, 0.4) AS d, quantile_disc(o_orderpriority, 0.5) AS s, round(median(o_totalprice), 4) AS m FROM orders GROUP BY 1")
 def agg_percentile(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
-    return o.groupBy("o_orderstatus").agg(
+    numbers = o.groupBy("o_orderstatus").agg(
         F.round(F.expr("percentile_cont(0.25) WITHIN GROUP (ORDER BY o_totalprice)"), 4).alias("c"),
         F.expr("percentile_disc(0.4) WITHIN GROUP (ORDER BY o_totalprice)").alias("d"),
-        agg.percentile_disc("o_orderpriority", 0.5).alias("s"),
         F.round(F.median("o_totalprice"), 4).alias("m"),
     )
+    return numbers.join(agg.percentile_disc(o, ["o_orderstatus"], "o_orderpriority", 0.5, "s"), "o_orderstatus")
 
 
 @query("agg_mode", "SELECT k AS o_orderpriority, v AS m FROM (SELECT o_orderpriority AS k, l AS v, row_number() OVER (PARTITION BY o_orderpriority ORDER BY n DESC, l) AS r FROM (SELECT o_orderpriority, extract(month FROM o_orderdate)::INTEGER AS l, count(*) AS n FROM orders GROUP BY 1, 2)) WHERE r = 1")
@@ -144,9 +144,9 @@ def agg_min_max_nan(spark, sf_dir):
     return t.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("d").alias("first_day"), F.max("s").alias("last_text"))
 
 
-@query("agg_ungrouped_column", "SELECT n_regionkey, min(n_nationkey)::BIGINT AS k FROM nation GROUP BY 1")
+@query("agg_ungrouped_column", "SELECT n_regionkey, arg_min(n_name, n_nationkey) AS n FROM nation GROUP BY 1")
 def agg_ungrouped_column(spark, sf_dir):
-    return load(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.min_by("n_nationkey", "n_nationkey").cast("bigint").alias("k"))
+    return load(spark, sf_dir, "nation").groupBy("n_regionkey").agg(agg.ungrouped("n_name", "n_nationkey").alias("n"))
 
 
 @query("agg_json", """SELECT n_regionkey, '[' || string_agg('"' || n_name || '"', ', ' ORDER BY n_nationkey) || ']' AS names, '{ ' || string_agg('"' || n_name || '" : ' || n_nationkey, ', ' ORDER BY n_name) || ' }' AS keys FROM nation GROUP BY 1""")
@@ -160,6 +160,35 @@ def agg_exact_sum(spark, sf_dir):
     return out.withColumn("s", F.round("s", 2))
 
 
+_MIXED = "SELECT n_regionkey AS k, n_nationkey AS i, CASE n_nationkey % 5 WHEN 0 THEN 1e16 WHEN 1 THEN 1.0 WHEN 2 THEN -1e16 WHEN 3 THEN 0.1 ELSE 2.5 END::DOUBLE AS v FROM nation"
+
+
+@query("agg_exact_order", f"SELECT k, sum(v::DECIMAL(38,4))::DOUBLE AS s, (sum(v::DECIMAL(38,4)) / count(v))::DOUBLE AS a FROM ({_MIXED}) GROUP BY k")
+def agg_exact_order(spark, sf_dir):
+    m = F.col("n_nationkey") % 5
+    v = F.when(m == 0, 1e16).when(m == 1, 1.0).when(m == 2, -1e16).when(m == 3, 0.1).otherwise(2.5)
+    t = load(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("k"), v.alias("v"))
+    return agg.exact_sum(t, ["k"], "v", "s").join(agg.exact_avg(t, ["k"], "v", "a"), "k")
+
+
+@query("agg_exact_variance", "SELECT l_returnflag, round(var_samp(l_quantity), 6) AS v, round(stddev_pop(l_quantity), 6) AS s FROM lineitem GROUP BY 1")
+def agg_exact_variance(spark, sf_dir):
+    t, k = load(spark, sf_dir, "lineitem"), ["l_returnflag"]
+    both = agg.exact_variance(t, k, "l_quantity", "v").join(agg.exact_variance(t, k, "l_quantity", "s", population=True, root=True), k)
+    return both.select("l_returnflag", F.round("v", 6).alias("v"), F.round("s", 6).alias("s"))
+
+
+@query("agg_string_empty", "SELECT k, string_agg(v, ',') AS s FROM (VALUES (1, ''), (2, NULL), (3, 'a')) t(k, v) GROUP BY k")
+def agg_string_empty(spark, sf_dir):
+    return spark.sql("SELECT * FROM VALUES (1, ''), (2, NULL), (3, 'a') AS t(k, v)").groupBy("k").agg(agg.string_agg("v", ",").alias("s"))
+
+
+@query("agg_json_text", """SELECT n_regionkey, '[' || string_agg('"p\\",' || lower(n_name) || '\\""', ', ' ORDER BY n_nationkey) || ']' AS a, '{' || string_agg('"' || n_name || '": ' || n_nationkey, ', ' ORDER BY length(n_name), n_name) || '}' AS o FROM nation GROUP BY 1""")
+def agg_json_text(spark, sf_dir):
+    said = F.concat(F.lit('p",'), F.lower("n_name"), F.lit('"'))
+    return load(spark, sf_dir, "nation").withColumn("said", said).groupBy("n_regionkey").agg(agg.json_agg("said", [F.col("n_nationkey")]).alias("a"), agg.jsonb_object_agg("n_name", "n_nationkey").alias("o"))
+
+
 _OS = "FROM orders JOIN customer ON o_custkey = c_custkey"
 
 

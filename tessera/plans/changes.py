@@ -163,16 +163,34 @@ def ingest_modes(spark, sf):
 
 
 def _texts(spark, sf) -> DataFrame:
-    return load(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("k"), F.col("o_totalprice").cast("string").alias("p"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"), "o_orderstatus", F.when(F.col("o_orderkey") % 2 == 0, "true").otherwise("FALSE").alias("b"))
-
-
-@query("infer_types", "SELECT o_orderkey AS k, o_totalprice AS p, o_orderdate::DATE AS d, o_orderstatus, o_orderkey % 2 = 0 AS b FROM orders")
+    k = F.col("o_orderkey")
+    return load(spark, sf, "orders").select(
+        k.cast("string").alias("k"), F.format_string("%.2f", "o_totalprice").alias("p"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"), "o_orderstatus", F.when(k % 2 == 0, "yes").otherwise("F").alias("b"),
+        F.concat(F.lit("0"), k.cast("string")).alias("zip"), F.when(k % 7 == 0, "NaN").otherwise(F.concat((k % 3).cast("string"), F.lit("e1"))).alias("x"), F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T10:00:00+02:00")).alias("z"),
+        F.when(k % 2 == 0, F.lit("2024-01-02")).otherwise(F.lit("2024-01-02 03:04:05")).alias("t"),
+    )
+
+
+@query(
+    "infer_types",
+    """SELECT o_orderkey AS k, round(o_totalprice, 2)::DECIMAL(18,2) AS p, o_orderdate::DATE AS d, o_orderstatus, o_orderkey % 2 = 0 AS b, '0' || o_orderkey AS zip, CASE WHEN o_orderkey % 7 = 0 THEN 'NaN'::DOUBLE ELSE (o_orderkey % 3) * 10.0 END::DOUBLE AS x,
+    epoch(o_orderdate::DATE)::BIGINT + 8 * 3600 AS z, CASE WHEN o_orderkey % 2 = 0 THEN TIMESTAMP '2024-01-02 00:00:00' ELSE TIMESTAMP '2024-01-02 03:04:05' END AS t FROM orders""",
+)
 def infer_types(spark, sf):
     t = _texts(spark, sf)
-    return infer.typed(t, infer.infer(t))
+    return infer.typed(t, infer.infer(t)).withColumn("z", F.unix_seconds("z"))
+
+
+_CLASSES = "(VALUES ('k', 'bigint'), ('p', 'decimal(18,2)'), ('d', 'date'), ('o_orderstatus', 'string'), ('b', 'boolean'), ('zip', 'string'), ('x', 'double'), ('z', 'timestamp'), ('t', 'timestamp_ntz')) v(c, t)"
 
 
-@query("infer_check", "SELECT c AS \"column\", (SELECT count(*) FROM orders) AS rows, 1.0::DOUBLE AS present_share, t AS type FROM (VALUES ('k', 'bigint'), ('p', 'double'), ('d', 'date'), ('o_orderstatus', 'string'), ('b', 'boolean')) v(c, t)")
+@query(
+    "infer_check",
+    f"""SELECT c AS "column", (SELECT count(*) FROM orders) AS rows, 1.0::DOUBLE AS present_share, t AS type,
+    CASE c WHEN 'x' THEN 'double ' || (SELECT count(*) FROM orders WHERE o_orderkey % 7 <> 0) || ', special ' || (SELECT count(*) FROM orders WHERE o_orderkey % 7 = 0)
+        WHEN 't' THEN 'date ' || (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) || ', timestamp_ntz ' || (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 1)
+        WHEN 'o_orderstatus' THEN (SELECT concat_ws(', ', CASE WHEN count_if(o_orderstatus IN ('F')) > 0 THEN 'boolean ' || count_if(o_orderstatus IN ('F')) END, 'string ' || count_if(o_orderstatus NOT IN ('F'))) FROM orders) ELSE '' END AS mixed FROM {_CLASSES}""",
+)
 def infer_check(spark, sf):
     return infer.check(_texts(spark, sf))
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.operators.recursive import native, path_text, recursive_union, search_order, walk
+from tessera.operators.recursive import native, ordered, path_text, recursive_union, search_order, walk
 from tessera.operators.relational import set_operation
 from tessera.plans.registry import query
 from tessera.sources.tables import load, views
@@ -64,12 +63,12 @@ def cte_recursive_join(spark, sf):
     return native(spark, "WITH RECURSIVE r(k, d) AS (SELECT n_nationkey, 0 FROM nation WHERE n_nationkey = 1 UNION ALL SELECT n.n_nationkey, d + 1 FROM r JOIN nation n ON n.n_nationkey = r.k * 2) SELECT k, d FROM r")
 
 
-#: Edges with a cycle 1 -> 2 -> 3 -> 1. Fixed values.
-_EDGES = "(VALUES (1, 2), (2, 3), (3, 1), (3, 4), (5, 6)) e(src, dst)"
+#: Edges with a cycle 4 -> 7 -> 9 -> 4 on the way from 1.
+_EDGES = "(VALUES (1, 4), (4, 7), (7, 9), (9, 4), (7, 2), (2, 8), (11, 12)) e(src, dst)"
 
 
 def _edges(spark):
-    return spark.sql("SELECT * FROM VALUES (1, 2), (2, 3), (3, 1), (3, 4), (5, 6) AS e(src, dst)")
+    return spark.sql("SELECT * FROM VALUES (1, 4), (4, 7), (7, 9), (9, 4), (7, 2), (2, 8), (11, 12) AS e(src, dst)")
 
 
 @query("cte_recursive_union", f"WITH RECURSIVE r(n) AS (SELECT 1 UNION SELECT dst FROM r JOIN {_EDGES} ON src = n) SELECT n FROM r")
@@ -99,9 +98,9 @@ def cte_cycle(spark, sf):
 
 @query("cte_search_depth", f"{_WALK} SELECT n, row_number() OVER (ORDER BY path) AS ord FROM w WHERE NOT is_cycle")
 def cte_search_depth(spark, sf):
-    return _walk(spark).where("NOT is_cycle").select("n", F.row_number().over(W.partitionBy(F.lit(1)).orderBy(search_order("path"))).cast("bigint").alias("ord"))
+    return ordered(_walk(spark).where("NOT is_cycle").withColumn("key", search_order("path")), "key", "ord").select("n", "ord")
 
 
 @query("cte_search_breadth", f"{_WALK} SELECT n, row_number() OVER (ORDER BY len(path), path) AS ord FROM w WHERE NOT is_cycle")
 def cte_search_breadth(spark, sf):
-    return _walk(spark).where("NOT is_cycle").select("n", F.row_number().over(W.partitionBy(F.lit(1)).orderBy(search_order("path", True))).cast("bigint").alias("ord"))
+    return ordered(_walk(spark).where("NOT is_cycle").withColumn("key", search_order("path", True)), "key", "ord").select("n", "ord")

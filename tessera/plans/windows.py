@@ -110,6 +110,33 @@ for _exclude in ("current row", "group", "ties", "no others"):
     )(_excluded)
 
 
+_WIDE = "SELECT p_partkey, p_brand, p_size, CASE p_partkey % 4 WHEN 0 THEN 1e16 WHEN 1 THEN 1.0 WHEN 2 THEN 0.25 END::DOUBLE AS v FROM part"
+
+for _exclude in ("current row", "group", "ties"):
+    for _mode, _frame in (("rows", "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"), ("groups", "GROUPS BETWEEN 2 PRECEDING AND 1 FOLLOWING")):
+
+        def _framed(spark, sf, exclude=_exclude, mode=_mode):
+            m = F.col("p_partkey") % 4
+            t = load(spark, sf, "part").withColumn("v", F.when(m == 0, 1e16).when(m == 1, 1.0).when(m == 2, 0.25))
+            ends = (W.unboundedPreceding, W.unboundedFollowing) if mode == "rows" else (-2, 1)
+            out = win.framed(t, ["p_brand"], ["p_size"], ["p_partkey"], "v", mode, *ends, exclude, count="c", min="lo", max="hi", sum="s")
+            return out.select("p_partkey", "c", "lo", "hi", F.when(F.col("s").isNotNull(), F.isnan("s")).alias("bad"))
+
+        query(
+            f"win_exclude_{_mode}_{_exclude.replace(' ', '_')}_doubles",
+            f"SELECT p_partkey, count(v) OVER w AS c, min(v) OVER w AS lo, max(v) OVER w AS hi, CASE WHEN count(v) OVER w > 0 THEN FALSE END AS bad FROM ({_WIDE}) WINDOW w AS (PARTITION BY p_brand ORDER BY p_size {_frame} EXCLUDE {_exclude.upper()})",
+        )(_framed)
+
+
+@query("win_exclude_sum_of_doubles", "SELECT * FROM (VALUES (1, 1.0::DOUBLE, 'Infinity'::DOUBLE), (2, 1e16::DOUBLE, 3.0::DOUBLE), (3, NULL, 'Infinity'::DOUBLE)) t(k, s, i)")
+def win_exclude_sum_of_doubles(spark, sf):
+    t = spark.sql("SELECT * FROM VALUES (1, 1e16D, 2.0D), (2, 1.0D, double('Infinity')), (3, CAST(NULL AS double), 1.0D) AS t(k, v, x)")
+    s = win.excluding(t.where("k < 3"), [], ["k"], [], "v", "current row", sum_name="s", count_name="c").select("k", "s")
+    s = s.unionAll(win.excluding(t.where("k = 3"), [], ["k"], [], "v", "current row", sum_name="s", count_name="c").select("k", "s"))
+    i = win.excluding(t, [], ["k"], [], "x", "current row", sum_name="i", count_name="c").select("k", "i")
+    return s.join(i, "k")
+
+
 @query("win_filter", f"SELECT o_orderkey, count(*) FILTER (WHERE o_orderstatus = 'F') OVER w AS c, sum(o_custkey) FILTER (WHERE o_orderstatus = 'F') OVER w::BIGINT AS s FROM orders WINDOW w AS ({_CUST})")
 def win_filter(spark, sf):
     w, f = _by_date(), F.col("o_orderstatus") == "F"

@@ -25,17 +25,28 @@ def ingest(spark: SparkSession, data: pa.Table | DataFrame, path: str, mode: str
     df.write.mode({"create": "error", "append": "append", "replace": "overwrite", "create_append": "append"}[mode]).parquet(path)
 
 
+def _serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch as the bytes of a stream of its own."""
+    for b in batches:
+        out = pa.BufferOutputStream()
+        with ipc.new_stream(out, b.schema) as w:
+            w.write_batch(b)
+        yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], ["batch"])
+
+
 def record_batches(df: DataFrame, rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
-    """A result as record batches of up to ``rows`` rows, partition by partition: the driver never holds the whole result."""
-    schema = to_arrow_schema(df.schema)
-    pending: list = []
-    for row in df.toLocalIterator(prefetchPartitions=True):
-        pending.append(row.asDict())
-        if len(pending) == rows:
-            yield pa.RecordBatch.from_pylist(pending, schema)
-            pending = []
-    if pending:
-        yield pa.RecordBatch.from_pylist(pending, schema)
+    """A result as record batches of up to ``rows`` rows, in order of its partitions. The executors write the batches; the driver holds
+    those of one partition at a time, and an error ends the stream."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(rows))
+    try:
+        found = df.mapInArrow(_serialized, "batch binary").toLocalIterator(prefetchPartitions=True)
+        schema = to_arrow_schema(df.schema)
+        for row in found:
+            yield from (b.cast(schema) for b in ipc.open_stream(bytes(row[0])))
+    finally:
+        conf.set(key, before)
 
 
 def export_ipc(df: DataFrame, path: str, stream: bool = False, compression: str | None = None) -> None:
