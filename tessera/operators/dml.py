@@ -1,8 +1,8 @@
 """INSERT, UPDATE, DELETE, MERGE and TRUNCATE as snapshot transforms.
 
-A table is a DataFrame with the declarations of its columns. A statement gives a Change: the new snapshot and the changed rows for
-RETURNING, both lazy plans of joins and projections; nothing is written until the caller writes the snapshot. All
-checks are part of the plan, so they are done before any write.
+A table is a DataFrame with the declarations of its columns. A statement gives a Change: one lazy plan of rows that are flagged as live
+(in the new snapshot) and as changed (for RETURNING), so that a writer evaluates the statement once; nothing is written until the
+caller writes it. All checks are part of the plan, so they are done before any write.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ROWID = "__rowid"
@@ -46,13 +47,22 @@ class Table:
         return [c.name for c in self.columns]
 
 
+LIVE, CHANGED = "__live", "__changed"
+
+
 @dataclass(frozen=True)
 class Change:
-    """The snapshot after a statement, and its changed rows (with ``merge_action`` for MERGE)."""
+    """The snapshot after a statement, and its changed rows (with ``merge_action`` for MERGE). ``flagged`` has both, told apart by LIVE and
+    CHANGED; INSERT, which leaves the old rows alone, has none."""
 
     table: Table
     changed: DataFrame
-    extra: dict = field(default_factory=dict)
+    flagged: DataFrame | None = None
+
+    @staticmethod
+    def of(table: Table, flagged: DataFrame, extra: Sequence[str] = ()) -> Change:
+        rows = Table(flagged.where(LIVE).select(*table.names), table.columns, table.checks, table.comment)
+        return Change(rows, flagged.where(CHANGED).select(*table.names, *extra), flagged)
 
     def returning(self, *items: Column | str) -> DataFrame:
         return self.changed.select(*items) if items else self.changed
@@ -65,8 +75,8 @@ def _fail(message: str, kind: str) -> Column:
     return F.raise_error(F.lit(message)).cast(kind)
 
 
-def verified(table: Table, rows: DataFrame) -> DataFrame:
-    """Rows in the table's types, each NOT NULL, length and CHECK rule tested as the row is produced."""
+def verified(table: Table, rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Rows in the table's types (and further columns as they are), each NOT NULL, length and CHECK rule tested as the row is produced."""
     out = []
     for c in table.columns:
         v = F.col(f"`{c.name}`").cast(c.kind)
@@ -75,7 +85,7 @@ def verified(table: Table, rows: DataFrame) -> DataFrame:
         if not c.nullable:
             v = F.coalesce(v, _fail(f"null value in column {c.name}", c.kind))
         out.append(v.alias(c.name))
-    rows = rows.select(*out)
+    rows = rows.select(*out, *extra)
     for name, condition in table.checks:
         first = table.columns[0]
         broken = ~F.coalesce(F.expr(condition), F.lit(True))
@@ -100,13 +110,13 @@ def update(table: Table, assignments: Mapping[str, Column | str], where: Column
     """UPDATE .. SET: all values come from the old row. One pass, no shuffle."""
     hit = F.coalesce(F.expr(where) if isinstance(where, str) else where, F.lit(False))
     values = {k: F.expr(v) if isinstance(v, str) else v for k, v in assignments.items()}
-    flagged = table.rows.select(*[(F.when(hit, values[c].cast(k)).otherwise(F.col(c)) if c in values else F.col(c)).alias(c) for c, k in ((d.name, d.kind) for d in table.columns)], hit.alias("__hit"))
-    return _flagged(table, flagged)
+    new = [(F.when(hit, values[c].cast(k)).otherwise(F.col(c)) if c in values else F.col(c)).alias(c) for c, k in ((d.name, d.kind) for d in table.columns)]
+    return updated(table, table.rows.select(*new, hit.alias(CHANGED)))
 
 
-def _flagged(table: Table, flagged: DataFrame) -> Change:
-    rows = Table(verified(table, flagged), table.columns, table.checks, table.comment)
-    return Change(rows, verified(table, flagged.where("__hit")))
+def updated(table: Table, rows: DataFrame) -> Change:
+    """The change that rows with new values, flagged as changed or not, make."""
+    return Change.of(table, verified(table, rows.withColumn(LIVE, F.lit(True)), (LIVE, CHANGED)))
 
 
 def _single(source: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -135,19 +145,24 @@ def update_from(table: Table, source: DataFrame, on: Mapping[str, str], assignme
         if d.name in assignments:
             v = F.when(clash, _fail("more than one row changes a target row", d.kind)).when(hit, F.expr(assignments[d.name]).cast(d.kind)).otherwise(v)
         out.append(v.alias(d.name))
-    return _flagged(table, joined.select(*out, hit.alias("__hit")))
+    return updated(table, joined.select(*out, hit.alias(CHANGED)))
 
 
 def delete(table: Table, where: Column | str = "true") -> Change:
-    hit = F.coalesce(F.expr(where) if isinstance(where, str) else where, F.lit(False))
-    return Change(Table(table.rows.where(~hit), table.columns, table.checks, table.comment), table.rows.where(hit))
+    """DELETE .. WHERE: a filter, no shuffle."""
+    return deleted(table, table.rows.withColumn(CHANGED, F.coalesce(F.expr(where) if isinstance(where, str) else where, F.lit(False))))
+
+
+def deleted(table: Table, rows: DataFrame) -> Change:
+    """The change that rows make of which the flagged ones go."""
+    return Change.of(table, rows.select(*table.names, CHANGED, (~F.col(CHANGED)).alias(LIVE)))
 
 
 def delete_using(table: Table, source: DataFrame, on: Mapping[str, str]) -> Change:
-    """DELETE .. USING: a hash semi and anti join by key, composite keys included."""
-    keys = source.select(*[F.col(s).alias(f"s_{s}") for s in on.values()]).distinct()
-    cond = [F.col(t) == F.col(f"s_{s}") for t, s in on.items()]
-    return Change(Table(table.rows.join(keys, cond, "left_anti"), table.columns, table.checks, table.comment), table.rows.join(keys, cond, "left_semi"))
+    """DELETE .. USING: one hash join by key with the source's distinct keys, composite keys included."""
+    keys = source.select(*[F.col(s).alias(f"s_{s}") for s in on.values()]).distinct().withColumn("__hit", F.lit(True))
+    joined = table.rows.join(keys, [F.col(t) == F.col(f"s_{s}") for t, s in on.items()], "left")
+    return deleted(table, joined.withColumn(CHANGED, F.coalesce("__hit", F.lit(False))))
 
 
 def truncate(*tables: Table) -> list[Table]:
@@ -166,38 +181,41 @@ class When:
 
 
 def merge(table: Table, source: DataFrame, on: Mapping[str, str], clauses: Sequence[When]) -> Change:
-    """MERGE INTO: one full outer join by key, and for each row the first clause whose condition holds. A target row that two
-    source rows change is an error. NULL keys match nothing."""
-    t = table.rows.select(F.struct(*table.names).alias("t"), *[F.col(k).alias(f"__t{i}") for i, k in enumerate(on)], F.monotonically_increasing_id().alias(ROWID))
-    s = source.select(F.struct(*source.columns).alias("s"), *[F.col(v).alias(f"__s{i}") for i, v in enumerate(on.values())])
+    """MERGE INTO: the target left-joined with the source by key, and for each row the first clause whose condition holds; source rows
+    without a target, which an anti join finds, only where something is inserted. A target row comes once for each source row
+    that matches it: a window over the join's own partitioning counts its changes, of which there may be one, and keeps one copy of an
+    unchanged row. NULL keys match nothing."""
+    rows = table.rows.select(F.struct(*table.names).alias("t"), *[F.col(k).alias(f"__t{i}") for i, k in enumerate(on)], F.monotonically_increasing_id().alias(ROWID))
+    given = source.select(F.struct(*source.columns).alias("s"), *[F.col(v).alias(f"__s{i}") for i, v in enumerate(on.values())])
     cond = [F.col(f"__t{i}") == F.col(f"__s{i}") for i in range(len(on))]
-    both = t.join(s, cond, "full")
-    state = F.when(F.col("t").isNotNull() & F.col("s").isNotNull(), "matched").when(F.col("s").isNotNull(), "not_matched").otherwise("not_matched_by_source")
-    clause = F.lit(None).cast("int")
-    for k in reversed(range(len(clauses))):
-        c = clauses[k]
-        clause = F.when((F.col("__state") == c.kind) & F.coalesce(F.expr(c.condition), F.lit(False)), F.lit(k)).otherwise(clause)
-    both = both.withColumn("__state", state).withColumn("__clause", clause)
-    action = F.lit("keep")
-    for k, c in enumerate(clauses):
-        action = F.when(F.col("__clause") == k, c.action).otherwise(action)
-    both = both.withColumn("__action", F.when(action == "nothing", F.lit("keep")).otherwise(action))
-    # a target row comes once for each source row that matches it: the changes among them are counted by its id
-    changes = F.col("__action").isin("update", "delete")
-    counted = both.groupBy(ROWID).agg(F.count_if(changes).alias("__changes")).where(f"{ROWID} IS NOT NULL AND __changes > 0")
-    both = both.join(counted, ROWID, "left")
+    joined = rows.join(given, cond, "left").withColumn("__state", F.when(F.col("s").isNotNull(), "matched").otherwise("not_matched_by_source"))
+    one = W.partitionBy(*[f"__t{i}" for i in range(len(on))], ROWID)
+    acted = _acted(joined, clauses).withColumn("__changes", F.count_if(F.col("__action").isin("update", "delete")).over(one)).withColumn("__copy", F.row_number().over(one.orderBy("__action")))
+    acted = acted.where("__action <> 'keep' OR (__changes = 0 AND __copy = 1)")
+    if any(c.kind == "not_matched" and c.action == "insert" for c in clauses):
+        fresh = given.join(rows.select(*[f"__t{i}" for i in range(len(on))]), cond, "left_anti").withColumn("t", F.lit(None).cast(rows.schema["t"].dataType)).withColumn("__state", F.lit("not_matched"))
+        fresh = _acted(fresh, clauses).where("__action = 'insert'").withColumn("__changes", F.lit(1).cast("long"))
+        acted = acted.select("t", "s", "__clause", "__action", "__changes").unionByName(fresh.select("t", "s", "__clause", "__action", "__changes"))
     columns = []
     for d in table.columns:
         v = F.col(f"t.{d.name}")
         for k, c in enumerate(clauses):
             if c.action in ("update", "insert"):
-                given = F.expr(c.set[d.name]) if d.name in c.set else F.expr(d.default) if c.action == "insert" and d.default else F.lit(None) if c.action == "insert" else F.col(f"t.{d.name}")
-                v = F.when(F.col("__clause") == k, given.cast(d.kind)).otherwise(v)
-        columns.append(F.when(F.coalesce("__changes", F.lit(0)) > 1, _fail("MERGE changes a row a second time", d.kind)).otherwise(v).alias(d.name))
-    result = both.select(*columns, "__action", "__state", ROWID, "__changes")
-    # a kept target row comes once for each match: one of them stays, and none if another match changes it
-    kept = result.where(f"__action = 'keep' AND {ROWID} IS NOT NULL AND __changes IS NULL").dropDuplicates([ROWID])
-    changed = result.where("__action <> 'keep'")
-    live = kept.unionByName(changed.where("__action <> 'delete'"))
-    snapshot = Table(verified(table, live), table.columns, table.checks, table.comment)
-    return Change(snapshot, changed.select(*table.names, F.upper("__action").alias("merge_action")))
+                new = F.expr(c.set[d.name]) if d.name in c.set else F.expr(d.default) if c.action == "insert" and d.default else F.lit(None) if c.action == "insert" else F.col(f"t.{d.name}")
+                v = F.when(F.col("__clause") == k, new.cast(d.kind)).otherwise(v)
+        columns.append(F.when(F.col("__changes") > 1, _fail("MERGE changes a row a second time", d.kind)).otherwise(v).alias(d.name))
+    action = F.col("__action")
+    flagged = acted.select(*columns, (action != "delete").alias(LIVE), (action != "keep").alias(CHANGED), F.upper(action).alias("merge_action"))
+    return Change.of(table, verified(table, flagged, (LIVE, CHANGED, "merge_action")), ("merge_action",))
+
+
+def _acted(rows: DataFrame, clauses: Sequence[When]) -> DataFrame:
+    """Add the number of the clause that applies to each row (t, s, __state), and its action."""
+    clause, action = F.lit(None).cast("int"), F.lit("keep")
+    for k in reversed(range(len(clauses))):
+        c = clauses[k]
+        clause = F.when((F.col("__state") == c.kind) & F.coalesce(F.expr(c.condition), F.lit(False)), F.lit(k)).otherwise(clause)
+    for k, c in enumerate(clauses):
+        if c.action != "nothing":
+            action = F.when(F.col("__clause") == k, c.action).otherwise(action)
+    return rows.withColumn("__clause", clause).withColumn("__action", action)

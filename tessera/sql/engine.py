@@ -28,6 +28,14 @@ def _until(items: list, *stops: str) -> int:
     return next((k for k, t in enumerate(items) if t.kind == "name" and t.word in stops), len(items))
 
 
+def _has_query(items: list) -> bool:
+    return any(_has_query(t.items) if isinstance(t, Group) else t.kind == "name" and t.word in ("SELECT", "WITH") for t in items)
+
+
+#: Parts that INSERT statements add to a table before they are joined to one.
+MOST_PARTS = 16
+
+
 class Engine:
     """A session of the dialect over a SparkSession."""
 
@@ -37,6 +45,7 @@ class Engine:
         base = folder or session.shared_folder(spark)
         self.spark, self.folder = spark, f"{base.rstrip('/')}/tessera-{spark.sparkContext.applicationId}/tables-{uuid.uuid4().hex[:8]}"
         self.tables: dict[str, dml.Table] = {}
+        self.parts: dict[str, int] = {}
         functions.python_functions(spark)
         self.settings = cat.Settings(spark)
 
@@ -73,25 +82,46 @@ class Engine:
 
     # storage
 
-    def _store(self, name: str, table: dml.Table) -> None:
+    def _written(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+        """Rows as they were written to a folder of their own, in parts by the values of flags."""
         path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
-        table.rows.select(*table.names).write.parquet(path)
-        rows = self.spark.read.schema(", ".join(f"`{c.name}` {c.kind}" for c in table.columns)).parquet(path)
+        writer = df.write
+        (writer.partitionBy(*by) if by else writer).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _set_table(self, name: str, table: dml.Table, rows: DataFrame) -> None:
+        rows = rows.select(*[F.col(f"`{c.name}`").cast(c.kind).alias(c.name) for c in table.columns])
         self.tables[name] = replace(table, rows=rows)
         rows.createOrReplaceTempView(name)
 
+    def _store(self, name: str, table: dml.Table) -> None:
+        self.parts[name] = 1
+        self._set_table(name, table, self._written(table.rows.select(*table.names), name))
+
     def _changed(self, name: str, change: dml.Change, returning: list | None) -> DataFrame:
-        """Store the snapshot; the changed rows (by RETURNING) or their number. The rows are written first: they are read from the old snapshot."""
-        rows = change.changed
-        path = f"{self.folder}/changed-{uuid.uuid4().hex[:8]}"
-        rows.write.parquet(path)
-        kept = self.spark.read.schema(rows.schema).parquet(path)
-        self._store(name, change.table)
+        """Write a statement's rows, once; the changed rows (by RETURNING) or their number. An INSERT adds a part to the table, until MOST_PARTS
+        of them are joined to one; other statements write live and dead rows to parts of their own, and only the live are the table's."""
+        if change.flagged is None:
+            kept = self._written(change.changed, name)
+            old = self.tables[name]
+            self.parts[name] = self.parts.get(name, 1) + 1
+            if self.parts[name] > MOST_PARTS:
+                self._store(name, replace(old, rows=old.rows.unionAll(kept)))
+            else:
+                self._set_table(name, old, old.rows.unionAll(kept))
+        else:
+            rows = self._written(change.flagged, name, dml.LIVE, dml.CHANGED)
+            self.parts[name] = 1
+            kept = rows.where(dml.CHANGED).drop(dml.LIVE, dml.CHANGED)
+            self._set_table(name, change.table, rows.where(dml.LIVE))
         if returning is None:
             return kept.agg(F.count("*").alias("count"))
         kept.createOrReplaceTempView("__returning")
-        text = dialect.expression_list(returning).replace("merge_action()", "merge_action")
-        return self.spark.sql(f"SELECT {text} FROM __returning AS {name}")
+
+        def show() -> str:
+            return f"SELECT {dialect.expression_list(returning)} FROM __returning AS {name}".replace("MERGE_ACTION()", "merge_action").replace("merge_action()", "merge_action")
+
+        return self.spark.sql(typed.text_of(self.spark, show, self.spark.sql))
 
     def _table(self, name: str) -> dml.Table:
         if name not in self.tables:
@@ -157,7 +187,7 @@ class Engine:
         joined = self.spark.table("__target").join(one, F.col(dml.ROWID) == F.col("__id"), "left")
         hit, clash = F.col("__id").isNotNull(), ~F.col("__lo").eqNullSafe(F.col("__hi"))
         out = [(F.when(hit & clash, F.raise_error(F.lit("more than one row changes a target row")).cast(c.kind)).when(hit, F.col("__lo")[c.name].cast(c.kind)).otherwise(F.col(c.name)) if c.name in values else F.col(c.name)).alias(c.name) for c in t.columns]
-        return self._changed(name, dml._flagged(t, joined.select(*out, hit.alias("__hit"))), returning)
+        return self._changed(name, dml.updated(t, joined.select(*out, hit.alias(dml.CHANGED))), returning)
 
     def _delete(self, items: list) -> DataFrame:
         name = items[1].text
@@ -167,17 +197,14 @@ class Engine:
         where = _text(items[where_at + 1 : back]) if where_at < back else "TRUE"
         alias = items[min(where_at, using) - 1].text if min(where_at, using) > 2 else name
         t = self._table(name)
-        if using < back:
-            self._with_ids(name).createOrReplaceTempView("__target")
-            ids = self.spark.sql(f"SELECT DISTINCT {alias}.{dml.ROWID} AS __id FROM __target AS {alias}, {dialect._from(items[using + 1 : where_at])} WHERE {where}")
-            rows = self.spark.table("__target").join(ids, F.col(dml.ROWID) == F.col("__id"), "left").withColumn("__hit", F.col("__id").isNotNull())
-        else:
-            # a subquery in WHERE becomes a join only as a condition of its own, so hits are kept by id
-            self._with_ids(name).createOrReplaceTempView("__target")
-            ids = self.spark.sql(f"SELECT {alias}.{dml.ROWID} AS __id FROM __target AS {alias} WHERE {where}")
-            rows = self.spark.table("__target").join(ids, F.col(dml.ROWID) == F.col("__id"), "left").withColumn("__hit", F.col("__id").isNotNull())
-        keep = rows.where("NOT __hit").select(*t.names)
-        return self._changed(name, dml.Change(replace(t, rows=keep), rows.where("__hit").select(*t.names)), returning)
+        if using >= back and not _has_query(items[where_at + 1 : back]):
+            return self._changed(name, dml.delete(replace(t, rows=t.rows.alias(alias)), where), returning)
+        # a subquery in WHERE becomes a join only as a condition of its own, so hits are kept by id
+        self._with_ids(name).createOrReplaceTempView("__target")
+        source = f", {dialect._from(items[using + 1 : where_at])}" if using < back else ""
+        ids = self.spark.sql(f"SELECT DISTINCT {alias}.{dml.ROWID} AS __id FROM __target AS {alias}{source} WHERE {where}")
+        rows = self.spark.table("__target").join(ids, F.col(dml.ROWID) == F.col("__id"), "left").withColumn(dml.CHANGED, F.col("__id").isNotNull())
+        return self._changed(name, dml.deleted(t, rows), returning)
 
     def _merge(self, items: list) -> DataFrame:
         name, k = items[1].text, 2
