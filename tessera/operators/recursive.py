@@ -19,10 +19,16 @@ MOST_ROUNDS = 10_000
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
+    """Rows written by a reliable checkpoint. Spark can't rename the constraints of some plans with constants, so it is told to derive none."""
+    context, conf, key = df.sparkSession.sparkContext, df.sparkSession.conf, "spark.sql.constraintPropagation.enabled"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        return df.checkpoint()
+    finally:
+        conf.set(key, before)
 
 
 class _Rounds:
@@ -48,9 +54,9 @@ def recursive_union(base: DataFrame, step: Callable[[DataFrame], DataFrame], mos
     seen = _Rounds(fresh)
     names = base.columns
     for _ in range(most):
-        new = step(fresh).toDF(*names).distinct().alias("n")
-        same = reduce(lambda a, b: a & b, [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in names])
-        fresh = _checkpointed(new.join(seen.rows.alias("s"), same, "left_anti"))
+        new = step(fresh).toDF(*names).distinct().select(*[F.col(f"`{c}`").alias(f"__n{k}") for k, c in enumerate(names)])
+        same = reduce(lambda a, b: a & b, [F.col(f"__n{k}").eqNullSafe(F.col(f"`{c}`")) for k, c in enumerate(names)])
+        fresh = _checkpointed(new.join(seen.rows, same, "left_anti").toDF(*names))
         if fresh.isEmpty():
             return seen.rows
         seen.add(fresh)
