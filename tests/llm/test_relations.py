@@ -86,7 +86,7 @@ def _judge(url, rules):
     return host, path, best and best[2], best[3] if best else "allow"
 
 
-def test_url_sweep_matches_brute_force(spark):
+def test_url_sweep_matches_brute_force(spark, monkeypatch):
     rng = random.Random(7)
     label = lambda: rng.choice(["a", "b", "a-b", "c1", "org", "com", "é"])
     rules = {(".".join(label() for _ in range(rng.randint(1, 3))), "/" + "".join(rng.choices("ab/", k=rng.randint(0, 3)))): rng.choice(["allow", "block"]) for _ in range(60)}
@@ -97,6 +97,10 @@ def test_url_sweep_matches_brute_force(spark):
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
     for k, u in enumerate(made):
         assert got[k] == _judge(u, rules), u
+    monkeypatch.setattr(urls, "INLINE", 0)  # all hosts are swept by paths, too
+    monkeypatch.setattr(urls, "PATHS", 20)
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+    assert all(got[k] == _judge(u, rules) for k, u in enumerate(made))
     none = spark.createDataFrame([], "host string, path string, verdict string")
     assert urls.judge(pages, none).where("verdict <> 'allow' OR rule IS NOT NULL").count() == 0
     assert urls.judge(pages.limit(0), none).count() == 0
