@@ -4,7 +4,10 @@ STAGES lists (name, function); a function takes (spark, docs, sf_dir) and return
 last keep the columns of ``documents``, whatever they are. run() writes each stage's result to the shared folder and
 reads it again, so that a lost executor costs a stage's tasks and never the stages before.
 
-Nulls: a null text is rejected by the first stage (it has no words), so an empty table passes through as an empty table.
+Defined results: a null or empty text is rejected by the first stage (it has no words); a null doc_id is kept and is no copy of
+another; rows that repeat, id and all, stay together through near-duplicates, of equal texts with different ids the smallest id stays;
+long texts are read whole in every stage; an empty table passes through as an empty table; further columns are kept, whatever
+their names, up to the last stage, which returns doc_id, counts, digests and ids only.
 """
 
 from __future__ import annotations

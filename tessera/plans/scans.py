@@ -10,9 +10,9 @@ from tessera.operators.series import generate_series, lateral_series, timestamp_
 from tessera.plans.registry import query
 from tessera.sources.tables import load, views
 
-@query("scan_full", "SELECT * FROM nation")
+@query("scan_full", "SELECT * FROM lineitem")
 def scan_full(spark, sf):
-    return load(spark, sf, "nation")
+    return load(spark, sf, "lineitem")
 
 
 @query("scan_filter_project", "SELECT l_orderkey, l_partkey, l_extendedprice * (1 - l_discount) AS revenue FROM lineitem WHERE l_quantity < 3 AND l_shipdate >= TIMESTAMP '1997-01-01 00:00:00'")
