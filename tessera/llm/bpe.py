@@ -414,13 +414,27 @@ def mapped(data: bytes) -> Lexicon:
     return Lexicon(path)
 
 
+#: The codec of this worker with its lexicon's digest: what it has learned serves the worker's next tasks, too.
+_OWN: dict[str, Codec] = {}
+
+
 def codec_maker(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WORDS):
-    """A function that makes the codec for these documents in a worker. What is broadcast, the tokenizer and a lexicon of
+    """A function that gives the codec for these documents in a worker. What is broadcast, the tokenizer and a lexicon of
     ``size`` words, does not grow with the data."""
     vocabulary = Vocabulary.load(tokenizer_path)
     context = docs.sparkSession.sparkContext
-    shared, data = context.broadcast(vocabulary), context.broadcast(build_lexicon(docs, vocabulary, size))
-    return lambda: Codec(shared.value, mapped(data.value))
+    lexicon = build_lexicon(docs, vocabulary, size)
+    with open(tokenizer_path, "rb") as f:
+        key = hashlib.sha256(f.read() + lexicon).hexdigest()
+    shared, data = context.broadcast(vocabulary), context.broadcast(lexicon)
+
+    def own() -> Codec:
+        if key not in _OWN:
+            _OWN.clear()
+            _OWN[key] = Codec(shared.value, mapped(data.value))
+        return _OWN[key]
+
+    return own
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WORDS, keep_ids: bool = False) -> DataFrame:
