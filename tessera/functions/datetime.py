@@ -223,14 +223,54 @@ def to_char(x, template: str) -> Column:
     return F.concat(*parts) if parts else F.when(x.isNotNull(), F.lit(""))
 
 
-def at_time_zone(x, zone: str, instant: bool) -> Column:
+#: Abbreviations of fixed offsets, which come before names of zones. Fixed values of the dialect.
+_ABBREVIATIONS = {
+    "utc": "+00:00", "ut": "+00:00", "uct": "+00:00", "gmt": "+00:00", "z": "+00:00", "zulu": "+00:00", "est": "-05:00", "edt": "-04:00", "cst": "-06:00", "cdt": "-05:00", "mst": "-07:00", "mdt": "-06:00", "pst": "-08:00", "pdt": "-07:00",
+    "akst": "-09:00", "akdt": "-08:00", "hst": "-10:00", "ast": "-04:00", "adt": "-03:00", "nst": "-03:30", "ndt": "-02:30", "wet": "+00:00", "west": "+01:00", "bst": "+01:00", "cet": "+01:00", "cest": "+02:00", "eet": "+02:00", "eest": "+03:00",
+    "jst": "+09:00", "kst": "+09:00", "hkt": "+08:00", "awst": "+08:00", "acst": "+09:30", "acdt": "+10:30", "aest": "+10:00", "aedt": "+11:00", "nzst": "+12:00", "nzdt": "+13:00",
+}
+_POSIX = re.compile(r"(?:[A-Za-z]{3,}|<[A-Za-z0-9+-]+>)?([+-]?)([0-9]{1,2})(?::([0-9]{2}))?")
+
+
+def zone(name: str) -> str:
+    """A zone's name for Spark: an abbreviation or a POSIX zone without summer time (whose sign counts to the west) as its offset."""
+    if fixed := _ABBREVIATIONS.get(name.strip().lower()):
+        return fixed
+    if (m := _POSIX.fullmatch(name.strip())) and not name.strip()[0] in "+-":
+        return f"{'+' if m[1] == '-' else '-'}{int(m[2]):02d}:{m[3] or '00'}"
+    return name.strip()
+
+
+def _zone(z) -> Column:
+    return F.lit(zone(z)) if isinstance(z, str) else z
+
+
+def utc_of_local(x, z) -> Column:
+    """The UTC wall time of a local time there. In a gap the offset before it counts, in an overlap that after it."""
+    x, z, utc = _c(x).cast(NTZ), _zone(z), F.lit("UTC")
+    first = F.convert_timezone(z, utc, x)
+    later = [first + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(m)) for m in (60, 30)]
+    return F.when(F.convert_timezone(utc, z, later[0]) == x, later[0]).when(F.convert_timezone(utc, z, later[1]) == x, later[1]).otherwise(first)
+
+
+def at_time_zone(x, z, instant: bool) -> Column:
     """``x AT TIME ZONE z``: an instant's local time there (instant=True), or the instant of a local time (False), as UTC wall time."""
-    x = _c(x)
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), x.cast(NTZ)) if instant else F.convert_timezone(F.lit(zone), F.lit("UTC"), x.cast(NTZ))
+    return F.convert_timezone(F.lit("UTC"), _zone(z), _c(x).cast(NTZ)) if instant else utc_of_local(x, z)
+
+
+def instant_at(x, z) -> Column:
+    """An instant's local time in a zone, whatever the session's zone."""
+    return F.convert_timezone(F.lit("UTC"), _zone(z), from_micros(F.unix_micros(x)))
+
+
+def instant_of(x, z) -> Column:
+    """The instant of a local time in a zone, whatever the session's zone."""
+    return F.timestamp_micros(micros(utc_of_local(x, z)))
 
 
-def convert_timezone(target: str, x, source: str = "UTC") -> Column:
-    return F.convert_timezone(F.lit(source), F.lit(target), _c(x).cast(NTZ))
+def convert_timezone(target, x, source="UTC") -> Column:
+    """CONVERT_TIMEZONE: a wall time of one zone as that of another."""
+    return F.convert_timezone(F.lit("UTC"), _zone(target), utc_of_local(x, source))
 
 
 def rounded_now(p: int = 6) -> Column:

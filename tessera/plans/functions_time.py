@@ -103,6 +103,18 @@ def fn_age(spark, sf):
     return _events(spark, sf).select("event_id", a["months"].alias("months"), a["days"].alias("days"))
 
 
+@query(
+    "fn_timezone_rules",
+    """SELECT * FROM (VALUES (1, TIMESTAMP '2024-03-10 07:30:00', TIMESTAMP '2024-03-10 03:30:00', TIMESTAMP '2024-03-10 01:30:00'), (2, TIMESTAMP '2024-11-03 06:30:00', TIMESTAMP '2024-11-03 01:30:00', TIMESTAMP '2024-11-03 00:30:00'),
+    (3, TIMESTAMP '2024-07-01 16:00:00', TIMESTAMP '2024-07-01 12:00:00', TIMESTAMP '2024-07-01 11:00:00'), (4, TIMESTAMP '2024-01-15 17:00:00', TIMESTAMP '2024-01-15 12:00:00', TIMESTAMP '2024-01-15 11:00:00')) t(k, utc, back, cet)""",
+)
+def fn_timezone_rules(spark, sf):
+    """A local time in a gap, one in an overlap, one of summer and one of winter; and an abbreviation, which knows no summer."""
+    t = spark.createDataFrame([(1, "2024-03-10 02:30:00"), (2, "2024-11-03 01:30:00"), (3, "2024-07-01 12:00:00"), (4, "2024-01-15 12:00:00")], "k int, x string").withColumn("x", F.col("x").cast("timestamp_ntz"))
+    utc = dt.at_time_zone(F.col("x"), "America/New_York", False)
+    return t.select("k", utc.alias("utc"), dt.at_time_zone(utc, "America/New_York", True).alias("back"), dt.at_time_zone(F.col("x"), "CET", False).alias("cet"))
+
+
 @query("fn_json_extract", "SELECT event_id, json_extract_string(props, '$.k') AS t, json_extract(props, '$.k')::VARCHAR AS j, json_type(props) = 'OBJECT' AS o, json_exists(props, '$.k') AS e, json_exists(props, '$.zz') AS n, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS v FROM events")
 def fn_json_extract(spark, sf):
     p = F.col("props")
