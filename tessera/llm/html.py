@@ -116,7 +116,7 @@ def _role(tag: str, attrs: str, inside: bool) -> tuple[bool, str, bool]:
     side = side or "hidden" in values or values.get("role", "").lower() in _SIDE_ROLES or bool(re.search(r"display\s*:\s*none", values.get("style", ""), re.I))
     if not side and tag not in _NEVER:
         side = any(_names_side(words, tag, inside) for words in names)
-    return side, step, tag in ("article", "main") or tag in _CONTAINERS and any(_TOLD & set(words) for words in names)
+    return side, step, tag in ("article", "main") or tag in ("div", "section") and any(_TOLD & set(words) for words in names)
 
 
 _few_roles = lru_cache(1 << 12)(_role)

@@ -58,6 +58,7 @@ def test_random_pages_of_known_texts(spark):
         ('<article><p>a</p><p class="x>b</p></article>', "a\nb"),
         ("<article>a <![CDATA[<b> & c]]> d<? pi ?></ x></article>", "a <b> & c d"),
         ("<article>1 <2 </article>", "1 <2"),
+        ('<body class="single-post"><header>site<h2>name</h2></header><div class="sidebar-weather">rain</div><article><p>a</p></article></body>', "a"),
     ],
 )
 def test_pages(page, want):
