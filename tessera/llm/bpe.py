@@ -40,7 +40,7 @@ from tessera.llm.common import bound_batches
 LEXICON_WORDS, LONGEST = 1 << 16, 64
 #: Distinct chunks that a worker counts, or bytes that it reads, before it hands its counts on.
 COUNTED_WORDS, COUNTED_BYTES = 1 << 19, 1 << 26
-#: Chunks, or bytes of chunks, whose ids a worker keeps at hand; they are dropped all at once between two steps.
+#: Chunks, or bytes of chunks, of one of two generations whose ids a worker keeps at hand: between two steps the older is dropped.
 KEPT_CHUNKS, KEPT_BYTES = 3 << 17, 1 << 24
 #: Characters of the texts that are split at once: chunks take many times the memory of their text.
 AT_ONCE = 1 << 20
@@ -301,10 +301,17 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None):
         self.v, self.lexicon, self.kept, self.size = vocabulary, lexicon, {}, 0
+        self.older: dict[bytes, bytes] = {}
         self.pieces = np.array([t.encode() for t in vocabulary.tokens], object)
 
     def _learn(self, chunks: set[bytes]) -> None:
-        """Find the ids of chunks: those of their words from the lexicon, or else by merging."""
+        """Find the ids of chunks: those of the older generation, those of their words from the lexicon, or else by merging."""
+        kept, older = self.kept, self.older
+        if older:
+            again = chunks & older.keys()
+            kept.update(zip(again, map(older.__getitem__, again), strict=True))
+            self.size += sum(map(len, again))
+            chunks = chunks - again
         parts = {c: self.v.words(c) for c in chunks}
         words = list({w for ws in parts.values() for w in ws})
         found = self.lexicon.find(words) if self.lexicon else [None] * len(words)
@@ -332,8 +339,7 @@ class Codec:
 
     def _step(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) >= KEPT_CHUNKS or self.size >= KEPT_BYTES:
-            self.kept.clear()
-            self.size = 0
+            self.older, self.kept, self.size = self.kept, {}, 0
         v, kept = self.v, self.kept
         split: list[list] = []
         new: set[bytes] = set()
