@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import bound_batches
 
 #: Words in the lexicon, and the longest of them in bytes.
-LEXICON_WORDS, LONGEST = 1 << 16, 64
+LEXICON_WORDS, LONGEST = 1 << 18, 64
 #: Distinct chunks that a worker counts, or bytes that it reads, before it hands its counts on.
 COUNTED_WORDS, COUNTED_BYTES = 1 << 19, 1 << 26
 #: Chunks, or bytes of chunks, of one of two generations whose ids a worker keeps at hand: between two steps the older is dropped.
