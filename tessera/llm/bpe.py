@@ -41,7 +41,7 @@ LEXICON_WORDS, LONGEST = 1 << 18, 64
 #: Distinct chunks that a worker counts, or bytes that it reads, before it hands its counts on.
 COUNTED_WORDS, COUNTED_BYTES = 1 << 19, 1 << 26
 #: Chunks, or bytes of chunks, of one of two generations whose ids a worker keeps at hand: between two steps the older is dropped.
-KEPT_CHUNKS, KEPT_BYTES = 3 << 17, 1 << 24
+KEPT_CHUNKS, KEPT_BYTES = 1 << 17, 1 << 23
 #: Characters of the texts that are split at once: chunks take many times the memory of their text.
 AT_ONCE = 1 << 20
 
