@@ -37,13 +37,13 @@ from pyspark.sql import functions as F
 from tessera.llm.common import bound_batches
 
 #: Words in the lexicon, and the longest of them in bytes.
-LEXICON_WORDS, LONGEST = 1 << 18, 64
+LEXICON_WORDS, LONGEST = 1 << 16, 64
 #: Distinct chunks that a worker counts, or bytes that it reads, before it hands its counts on.
-COUNTED_WORDS, COUNTED_BYTES = 1 << 19, 1 << 26
+COUNTED_WORDS, COUNTED_BYTES = 3 << 17, 1 << 26
 #: Chunks, or bytes of chunks, of one of two generations whose ids a worker keeps at hand: between two steps the older is dropped.
-KEPT_CHUNKS, KEPT_BYTES = 1 << 17, 1 << 23
+KEPT_CHUNKS, KEPT_BYTES = 5 << 15, 1 << 23
 #: Characters of the texts that are split at once: chunks take many times the memory of their text.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 19
 
 
 #: What a split pattern must end with for words() to see its common cases at once, and stops that are one word each after letters.
@@ -123,6 +123,14 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.letters = _byte_letters()
+        # merges over ids: a pair of ids to its rank, and the id that each rank makes; only where every symbol has one
+        symbols = [self.ids.get(a + end) for end in ("", self.end) for a in self.letters]
+        made = [(self.ids.get(a), self.ids.get(b), self.ids.get(a + b)) for a, b in merges]
+        self.whole = None not in symbols and all(None not in m for m in made)
+        if self.whole:
+            self.inner, self.last = symbols[:256], symbols[256:]
+            self.pairs = {a << 20 | b: k for k, (a, b, _) in enumerate(made)}
+            self.made = [c for _, _, c in made]
         self.tokens = [""] * (1 + max([*self.ids.values(), *self.special.values()]))
         for token, k in [*self.ids.items(), *self.special.items()]:
             self.tokens[k] = token
@@ -156,26 +164,26 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merges: always the pair of lowest rank, the leftmost first."""
-        if len(word) > 32:
-            return self._merge_long(word)
-        sym = list(map(self.letters.__getitem__, word))
-        if not sym:
+        if len(word) > 32 or not self.whole:
+            return self._merge_long(word) if word else []
+        if not word:
             return []
-        sym[-1] += self.end
-        get, never = self.ranks.get, len(self.ranks)
-        ranks = [get(p, never) for p in zip(sym, sym[1:], strict=False)]
+        ids = [self.inner[b] for b in word]
+        ids[-1] = self.last[word[-1]]
+        get, made, never = self.pairs.get, self.made, len(self.made)
+        ranks = [get(a << 20 | b, never) for a, b in zip(ids, ids[1:], strict=False)]
         while ranks:
             low = min(ranks)
             if low == never:
                 break
             k = ranks.index(low)
-            sym[k : k + 2] = [sym[k] + sym[k + 1]]
+            ids[k : k + 2] = (made[low],)
             del ranks[k]
             if k < len(ranks):
-                ranks[k] = get((sym[k], sym[k + 1]), never)
+                ranks[k] = get(ids[k] << 20 | ids[k + 1], never)
             if k:
-                ranks[k - 1] = get((sym[k - 1], sym[k]), never)
-        return [k for k in map(self.ids.get, sym) if k is not None]
+                ranks[k - 1] = get(ids[k - 1] << 20 | ids[k], never)
+        return ids
 
     def _merge_long(self, word: bytes) -> list[int]:
         """The same with a heap, which keeps a long word at n log n."""
