@@ -21,8 +21,8 @@ import hashlib
 import heapq
 import json
 import os
-import tempfile
 import unicodedata
+import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -417,12 +417,13 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, size: int = LEXICON_W
 
 def mapped(data: bytes) -> Lexicon:
     """The lexicon in this worker: the first worker of an executor writes the file, all of them map it. It lies in the executor's folder
-    of the application, which Spark removes at its end, and is written anew by an executor that takes another's place."""
-    folder = SparkFiles.getRootDirectory()
-    path = os.path.join(folder, f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin")
+    of the application, which Spark removes at its end, and is written anew by an executor that takes another's place. The folder is only
+    reached by the name that Spark gives, in executors a relative one: its full path may lead over another mount, and no file is renamed
+    from one mount to another."""
+    path = os.path.join(SparkFiles.getRootDirectory(), f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin")
     if not os.path.exists(path):
-        fd, own = tempfile.mkstemp(dir=folder)
-        with os.fdopen(fd, "wb") as f:
+        own = f"{path}.{uuid.uuid4().hex}"
+        with open(own, "xb") as f:
             f.write(data)
         os.replace(own, path)
     return Lexicon(path)

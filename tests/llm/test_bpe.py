@@ -1,6 +1,8 @@
 """The codec's query against the tokenizers library: digests, every kind of character, and texts in pieces."""
 
+import errno
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -69,3 +71,20 @@ def test_what_a_worker_keeps_is_bounded_in_bytes(spark, vocabulary, monkeypatch)
     monkeypatch.setattr(bpe, "COUNTED_BYTES", 60)
     table = spark.createDataFrame([("y" * 65 + " " + "y" * 64 + " short",)] * 3, "text string").coalesce(1)
     assert {bytes(r["word"]): r["n"] for r in bpe.count_words(table, vocabulary).collect()} == {b"y" * 64: 3, b"short": 3}
+
+
+def test_the_lexicon_is_mapped_where_the_folder_s_full_path_is_another_mount(tmp_path, monkeypatch):
+    """As in an executor: its files' root is "." and a rename between the full path and the relative one crosses mounts."""
+
+    def replace(source, target, real=os.replace):
+        if os.path.dirname(source) != os.path.dirname(target):
+            raise OSError(errno.EXDEV, "Invalid cross-device link", source, None, target)
+        real(source, target)
+
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.setattr(bpe.SparkFiles, "getRootDirectory", lambda: ".")
+    monkeypatch.setattr(os, "replace", replace)
+    data = bpe.compile_lexicon([(b"one", [1, 2]), (b"two", [3])])
+    for _ in range(2):  # the worker that writes, and one that finds the file
+        assert bpe.mapped(data).find([b"one", b"two", b"x"]) == [np.array([1, 2], "<u4").tobytes(), np.array([3], "<u4").tobytes(), None]
+    assert len(os.listdir(tmp_path)) == 1
