@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tessera.llm import bpe
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -73,7 +74,8 @@ def test_what_a_worker_keeps_is_bounded_in_bytes(spark, vocabulary, monkeypatch)
     assert {bytes(r["word"]): r["n"] for r in bpe.count_words(table, vocabulary).collect()} == {b"y" * 64: 3, b"short": 3}
 
 
-def test_the_lexicon_is_mapped_where_the_folder_s_full_path_is_another_mount(tmp_path, monkeypatch):
+@pytest.fixture
+def other_mount(tmp_path, monkeypatch):
     """As in an executor: its files' root is "." and a rename between the full path and the relative one crosses mounts."""
 
     def replace(source, target, real=os.replace):
@@ -84,7 +86,22 @@ def test_the_lexicon_is_mapped_where_the_folder_s_full_path_is_another_mount(tmp
     monkeypatch.chdir(tmp_path)
     monkeypatch.setattr(bpe.SparkFiles, "getRootDirectory", lambda: ".")
     monkeypatch.setattr(os, "replace", replace)
+    return tmp_path
+
+
+def test_the_lexicon_is_mapped_where_the_folder_s_full_path_is_another_mount(other_mount):
     data = bpe.compile_lexicon([(b"one", [1, 2]), (b"two", [3])])
     for _ in range(2):  # the worker that writes, and one that finds the file
         assert bpe.mapped(data).find([b"one", b"two", b"x"]) == [np.array([1, 2], "<u4").tobytes(), np.array([3], "<u4").tobytes(), None]
-    assert len(os.listdir(tmp_path)) == 1
+    assert len(os.listdir(other_mount)) == 1
+
+
+def test_the_pipeline_s_last_stage_encodes_there(spark, library, other_mount, monkeypatch):
+    """What a worker runs in the stage encode, run here."""
+    docs = spark.createDataFrame([(1, "some words, and some more words"), (2, None)], "doc_id long, text string")
+    given = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, fn, *rest, real=type(docs).mapInArrow: given.append(fn) or real(self, fn, *rest))
+    monkeypatch.setattr(bpe, "_OWN", {})
+    corpus_pipeline.encode(spark, docs, "")
+    rows = [r for b in given[-1](iter(docs.toArrow().to_batches())) for r in b.to_pylist()]
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in rows} == {1: _row(library, "some words, and some more words"), 2: _row(library, None)}
